@@ -69,6 +69,12 @@ class CellProfile:
             F.max(F.when(F.col("column") == ROW_DIRTY, F.col("n_missing"))).alias("rows_dirty"),
         )
 
+    def with_infinity_replaced(self, value: Column) -> CellProfile:
+        """The profile as it is after every infinite cell became ``value``; saves a second scan."""
+        sums = F.coalesce("finite_sum", F.lit(0.0)) + F.when(F.col("n_inf") > 0, F.col("n_inf") * value).otherwise(0.0)
+        cells = self.cells.withColumn("finite_sum", sums).withColumn("n_inf", F.lit(0).cast("long"))
+        return CellProfile(cells, self.by, self.columns, self.numeric)
+
     def values(self, value: Column, columns: Sequence[str], name: str) -> DataFrame:
         """``(by..., name: array<double>)`` holding ``value`` for ``columns``, in that order."""
         place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
