@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tidewell.registry import cleaning, formats, projections, quality, statistics  # noqa: F401
+from tidewell.registry import cleaning, formats, models, projections, quality, statistics, streams  # noqa: F401
 from tidewell.registry.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

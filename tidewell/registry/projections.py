@@ -126,15 +126,26 @@ def record_key(spark, sf_dir):
 def placement(spark, sf_dir):
     """Keys never span partitions; the share of the largest key shows how well they spread."""
     key = F.col("user_id").cast("string")
-    events = table(spark, sf_dir, "events")
-    per_key = events.groupBy(key.alias("key")).agg(
+    per_key = table(spark, sf_dir, "events").groupBy(key.alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.min(key_slot(key)).alias("a"), F.max(key_slot(key)).alias("b")
     )
-    placed = per_key.agg(
-        F.count_if(F.col("a") != F.col("b")).alias("split_keys"), F.every(F.col("a").between(0, 7)).alias("slots_valid")
+    return per_key.agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(F.col("a") != F.col("b")).alias("split_keys"),
+        F.every(F.col("a").between(0, 7)).alias("slots_valid"),
+        F.round(F.max("n") / F.sum("n"), 6).alias("top_share"),
     )
-    report = key_report(events, key).withColumn("top_share", F.round("top_share", 6))
-    return report.join(placed, F.col("n_keys") >= 0 * F.col("split_keys"))
+
+
+@query(
+    "key_report",
+    """SELECT count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_rows, round(max(n) / sum(n), 6) AS top_share
+    FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)""",
+)
+def key_spread(spark, sf_dir):
+    report = key_report(table(spark, sf_dir, "events"), F.col("event_type"))
+    return report.withColumn("top_share", F.round("top_share", 6))
 
 
 @query("json_parse", "SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events")

@@ -56,13 +56,19 @@ def durable(df: DataFrame, tag: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_counted(stats: DataFrame, max_rows: int = SETTLE_ROWS) -> tuple[DataFrame, int | None]:
+    """Compute a frame once: ``(local relation, its row count)`` up to ``max_rows`` rows,
+    else ``(written table, None)``."""
+    head = stats.limit(max_rows + 1).toArrow()
+    if head.num_rows <= max_rows:
+        return stats.sparkSession.createDataFrame(head, schema=stats.schema), head.num_rows
+    return durable(stats, "stats"), None
+
+
 def settle(stats: DataFrame, max_rows: int = SETTLE_ROWS) -> DataFrame:
     """Compute a statistics frame once.
 
     Up to ``max_rows`` rows come back as a local relation of known size; a larger
     result is written and re-read, and joins against it stay distributed.
     """
-    head = stats.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return stats.sparkSession.createDataFrame(head, schema=stats.schema)
-    return durable(stats, "stats")
+    return settle_counted(stats, max_rows)[0]
