@@ -73,7 +73,7 @@ def smote(
     )
     found = nearest_vectors(points, seeds, k, "__class", "x", "m")
     leaning = seeds.join(found, ["__class", "x"], "left")
-    others = F.coalesce("neighbors", F.expr("cast(array() as array<struct<y:array<double>,m:bigint>>)"))
+    others = F.coalesce("neighbors", F.expr("cast(array() as array<struct<y:array<double>,m:bigint,dist:double>>)"))
     own = F.array_repeat("x", F.least(F.col("m") - 1, F.lit(k)).cast("int"))
     repeated = F.flatten(
         F.transform(others, lambda s: F.array_repeat(s["y"], F.least(s["m"], F.lit(k)).cast("int")))

@@ -59,7 +59,7 @@ def nearest_vectors(
     points: DataFrame, queries: DataFrame, k: int, group: str, vector: str, weight: str,
     cell_rows: int = CELL_ROWS, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """``group, vector, neighbors: array<struct<y, m>>``: the k closest other points of the group.
+    """``group, vector, neighbors: array<struct<y, m, dist>>``: the k closest other points of the group.
 
     ``points`` and ``queries`` hold distinct vectors per group; ``queries`` is part of ``points``.
     Neighbours come in order of distance, with their ``weight`` as ``m``.
@@ -95,7 +95,7 @@ def nearest_vectors(
     return listed.select(
         F.col("g").alias(group),
         F.col("x").alias(vector),
-        F.transform("s", lambda s: F.struct(s["y"].alias("y"), s["m"].alias("m"))).alias("neighbors"),
+        F.transform("s", lambda s: F.struct(s["y"].alias("y"), s["m"].alias("m"), s["dist"].alias("dist"))).alias("neighbors"),
     )
 
 
@@ -205,6 +205,9 @@ def _match(asked, placed, shape, k, group_type, chunk_rows) -> DataFrame:
         if q.empty or s.empty:
             return empty
         queries, points = _matrix(q["x"]), _matrix(s["x"])
+        # ties in distance go to the smaller vector, whatever order the rows arrived in
+        by_vector = np.lexsort(points.T[::-1])
+        points, s = points[by_vector], s.iloc[by_vector]
         reach = q["reach"].to_numpy(dtype=float)
         step = max(1, (1 << 22) // len(points))
         found = []

@@ -153,15 +153,20 @@ def _tighten(placed, state, keys):
         [ref(k).eqNullSafe(ref(f"s_{k}")) for k in keys] + [F.col("slot") == F.col("s_slot")],
         "left",
     )
-    m = F.greatest(F.coalesce(F.col("m"), F.lit(0)), F.lit(1))
+    m = F.coalesce(F.col("m"), F.lit(0))
+    some = F.greatest(m, F.lit(1))
     below = F.coalesce(F.col("below"), F.lit(0))
-    left = F.greatest(F.floor((F.col("k1") - below) * GRID / m) - 2, F.lit(-1))
-    right = F.least(F.ceil((F.col("k2") - below) * GRID / m) + 2, F.lit(GRID + 1))
-    span = F.least(right, F.lit(GRID)) - F.greatest(left, F.lit(0))
+    # two grid steps of margin on both sides cover the sketch's rank error; ranks that fall on an
+    # edge of the old bracket lie outside the grid and keep that edge
+    left = F.floor((F.col("k1") - below) * GRID / some) - 2
+    right = F.ceil((F.col("k2") - below) * GRID / some) + 2
+    left = F.when(m > 0, F.least(F.greatest(left, F.lit(0)), F.lit(GRID))).otherwise(0)
+    right = F.when(m > 0, F.least(F.greatest(right, F.lit(0)), F.lit(GRID))).otherwise(GRID)
+    span = F.greatest(right - left, F.lit(0))
     return old.select(
         *[ref(k) for k in keys],
         "n", "slot", "p", "k1", "k2", "frac",
         F.when(left > 0, F.element_at("edges", (left + 1).cast("int"))).otherwise(F.col("lo")).alias("lo"),
         F.when(right < GRID, F.element_at("edges", (right + 1).cast("int"))).otherwise(F.col("hi")).alias("hi"),
-        ((span / F.lit(GRID) + 2.0 / ACCURACY) * m).alias("inside"),
+        ((span / F.lit(GRID) + 2.0 / ACCURACY) * m).cast("double").alias("inside"),
     )

@@ -22,6 +22,7 @@ from tidewell.operators.models import (
     train_forest,
     train_multiclass,
 )
+from tidewell.operators.neighbors import nearest_vectors
 from tidewell.operators.sampling import sample_exact
 from tidewell.plans.feature_selection import clean_split, feature_importance, select_features, write_reports
 from tidewell.registry.base import query
@@ -155,6 +156,30 @@ def balanced(spark, sf_dir):
     )
 
 
+@query(
+    "nearest_vectors",
+    """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+    pairs AS (SELECT a.label, a.vec_id, list_distance(a.x, b.x) AS dist,
+        row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x)) AS r
+      FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id)
+    SELECT label, vec_id, count(*) AS n, round(max(dist), 5) AS farthest, round(sum(dist), 5) AS total
+    FROM pairs WHERE r <= 5 GROUP BY label, vec_id""",
+)
+def neighbors(spark, sf_dir):
+    """Five nearest vectors of the same label, cells kept small so that several are probed."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    points = rows.select("label", "x", F.lit(1).cast("long").alias("m")).distinct()
+    found = nearest_vectors(points, points, 5, "label", "x", "m", cell_rows=32, chunk_rows=64)
+    dist = F.transform("neighbors", lambda s: s["dist"])
+    return rows.join(found, ["label", "x"]).select(
+        "label",
+        "vec_id",
+        F.size("neighbors").cast("long").alias("n"),
+        F.round(F.array_max(dist), 5).alias("farthest"),
+        F.round(F.aggregate(dist, F.lit(0.0), lambda a, b: a + b), 5).alias("total"),
+    )
+
+
 @query("smote_embeddings")
 def balanced_vectors(spark, sf_dir):
     """All embedding classes raised to the largest, in 64 dimensions."""

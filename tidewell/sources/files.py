@@ -53,13 +53,19 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(found)
 
 
-def _header_of(path: str) -> list[str]:
-    """First line of one file, read in small pieces."""
+def _locate(path: str):
+    """``(file system, path in it)`` for a path as Spark lists it."""
     from urllib.parse import unquote
 
     from pyarrow import fs
 
-    store, place = fs.FileSystem.from_uri(unquote(path) if path.startswith("file:") else path)
+    local = path.startswith("file:")
+    return fs.FileSystem.from_uri(unquote(path) if local else path.replace("s3a://", "s3://", 1))
+
+
+def _header_of(path: str) -> list[str]:
+    """First line of one file, read in small pieces."""
+    store, place = _locate(path)
     line = b""
     with store.open_input_stream(place) as stream:
         while b"\n" not in line:
@@ -67,13 +73,32 @@ def _header_of(path: str) -> list[str]:
             if not piece:
                 break
             line += piece
-    text = line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-    return next(csv.reader([text]), [])
+    return _fields(line.split(b"\n", 1)[0].decode("utf-8-sig"))
+
+
+def _fields(line: str) -> list[str]:
+    return next(csv.reader([line.rstrip("\r")]), [])
 
 
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``path, header: array<string>`` per file; each task opens its files and reads one line of each."""
+    """``path, header: array<string>`` per file.
+
+    Each task opens its files and reads one line of each.  Where the storage is not one Arrow can
+    open, the lines come from a text scan instead, which reads the files whole.
+    """
     paths = list_files(spark, folder, pattern)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+    try:
+        _locate(paths[0]) if paths else None
+    except (pa.ArrowException, OSError, ValueError):
+        lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("id")).alias("at"),
+            "value",
+        )
+        listed = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+        return listed.mapInArrow(_split_lines, "path string, header array<string>")
 
     def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,11 +107,17 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
                 {"path": files, "header": pa.array([_header_of(p) for p in files], pa.list_(pa.string()))}
             )
 
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     return listed.repartition(slots).mapInArrow(headers, "path string, header array<string>")
 
 
+def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        split = [_fields(line) for line in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(split, pa.list_(pa.string()))], names=["path", "header"]
+        )
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -176,12 +207,19 @@ def file_sizes(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def validate_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """``file, rows, columns, valid`` per Parquet file; unreadable or empty files are invalid.
+    """``file, rows, valid`` per Parquet file; unreadable or empty files are invalid.
 
-    Counting rows of no column reads footers only.
+    Counting rows of no column reads footers only; the stand-in schema keeps Spark from inferring
+    one off a file that may be broken.
     """
     files = file_sizes(spark, folder, "*.parquet").select(file_name(F.col("path")).alias("file"))
-    table = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(folder)
+    reader = spark.read.schema("unread int").option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+    table = reader.option("pathGlobFilter", "*.parquet").parquet(folder)
     counts = table.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     joined = files.join(counts, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
-    return joined.select("file", "rows", F.lit(len(table.columns)).alias("columns"), (F.col("rows") > 0).alias("valid"))
+    return joined.withColumn("valid", F.col("rows") > 0)
+
+
+def all_valid(validation: DataFrame) -> bool:
+    """True when there are files and every one is valid."""
+    return bool(validation.agg(F.every("valid")).first()[0])
