@@ -56,3 +56,20 @@ dirty AS (
 
 COPIES_SQL = DIRTY_SQL + """,
 copies AS (SELECT * FROM dirty UNION ALL SELECT * FROM dirty WHERE l_orderkey % 29 = 0)"""
+
+
+def wide_lineitem(spark: SparkSession, sf_dir: str, width: int = 78, sources: int = 8) -> DataFrame:
+    """``lineitem`` widened to ``width`` numeric features plus Label and source_file, with a few
+    infinite and missing cells in two columns; the shape of a day-per-file flow table."""
+    rows = table(spark, sf_dir, "lineitem")
+    draw = [F.pmod(F.xxhash64(*ROW_ORDER, F.lit(i)), F.lit(10_000)) for i in range(width)]
+    base = [F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    cells = [F.round(draw[i] * (i % 7 + 1) / 10 + base[i % 4] * (i % 3), 3) for i in range(width)]
+    cells[0] = F.when(draw[0] < 16, F.lit(float("inf"))).otherwise(cells[0])
+    cells[1] = F.when(draw[1] < 5, F.lit(float("nan"))).otherwise(cells[1])
+    label = F.when(F.col("l_returnflag") == "N", F.lit("BENIGN")).otherwise(F.lit("DoS"))
+    return rows.select(
+        *[c.alias(f"Feature {i}") for i, c in enumerate(cells)],
+        label.alias("Label"),
+        (F.col("l_orderkey") % sources).cast("string").alias("source_file"),
+    )
