@@ -16,13 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.cells import numeric_columns, ref
-from tidewell.operators.profile import name_of
+from tidewell.functions.cells import is_dirty, numeric_columns, ref
+from tidewell.operators.profile import explode_cells, name_of
 
 _PARTIAL = "i int, j int, n double, si double, sj double, sii double, sjj double, sij double"
 
 
-def _gramians(width: int):
+def _gramians(centers: np.ndarray):
+    width = len(centers)
     upper_i, upper_j = np.triu_indices(width)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -31,12 +32,17 @@ def _gramians(width: int):
             if not batch.num_rows:
                 continue
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            x -= centers  # here and not in the plan, whose wide projection would not compile
             seen = ~np.isnan(x)
-            x = np.where(seen, x, 0.0)
-            mask = seen.astype(float)
             with np.errstate(invalid="ignore", over="ignore"):
-                sums, squares = x.T @ mask, (x * x).T @ mask
-                part = np.stack([mask.T @ mask, sums, sums.T, squares, squares.T, x.T @ x])
+                if seen.all():
+                    ones = np.ones((width, width))
+                    counts, sums, squares = ones * len(x), x.sum(0)[:, None] * ones, (x * x).sum(0)[:, None] * ones
+                else:
+                    x = np.where(seen, x, 0.0)
+                    mask = seen.astype(float)
+                    counts, sums, squares = mask.T @ mask, x.T @ mask, (x * x).T @ mask
+                part = np.stack([counts, sums, sums.T, squares, squares.T, x.T @ x])
             state = part if state is None else state + part
         if state is not None:
             flat = [state[k][upper_i, upper_j] for k in range(6)]
@@ -51,14 +57,13 @@ def _gramians(width: int):
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``i, j, column_i, column_j, r`` for ``i <= j``; ``r`` is NULL where it is undefined."""
     names = list(columns or numeric_columns(df))
-    doubles = [F.nanvl(ref(c).cast("double"), F.lit(None).cast("double")) for c in names]
-    values = df.select(*[d.alias(f"c{i}") for i, d in enumerate(doubles)])
-    cells = values.select(F.posexplode(F.array(*values.columns)).alias("pos", "v"))
-    finite = F.when(F.abs("v") != F.lit(float("inf")), F.col("v"))
+    values = df.select(*[ref(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    cells = explode_cells(values, (), values.columns)
+    finite = F.when(~is_dirty(F.col("v")), F.col("v"))
     means = {r["pos"]: r["m"] for r in cells.groupBy("pos").agg(F.avg(finite).alias("m")).collect()}
-    centred = values.select(*[(F.col(f"c{i}") - F.lit(means.get(i) or 0.0)).alias(f"c{i}") for i in range(len(names))])
+    centers = np.array([means.get(i) or 0.0 for i in range(len(names))])
     summed = (
-        centred.mapInArrow(_gramians(len(names)), _PARTIAL)
+        values.mapInArrow(_gramians(centers), _PARTIAL)
         .groupBy("i", "j")
         .agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
     )

@@ -7,7 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.cells import INFINITY, any_of, floating_columns, infinite, is_floating, missing, ref
+from tidewell.functions.cells import (
+    cell_array,
+    count_infinities,
+    floating_columns,
+    has_gap,
+    has_infinity,
+    infinite,
+    is_floating,
+    ref,
+)
 from tidewell.operators.grouping import attach
 from tidewell.operators.profile import CellProfile, profile
 from tidewell.session import settle
@@ -18,10 +27,10 @@ STRATEGIES = ("max", "large_int", "drop", "null")
 
 def count_infinite(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``by..., n_inf``: ±Infinity over all numeric cells of each group, one narrow aggregate."""
-    counts = F.lit(0).cast("long")
-    for name in floating_columns(df, exclude=by):
-        counts = counts + infinite(ref(name)).cast("long")
-    return df.groupBy(*[ref(k) for k in by]).agg(F.coalesce(F.sum(counts), F.lit(0)).alias("n_inf"))
+    cells = cell_array(df, floating_columns(df, exclude=by))
+    packed = df.select(*[ref(k) for k in by], cells.alias("cells"))
+    packed = packed.withColumn("n", count_infinities(F.col("cells")))
+    return packed.groupBy(*[ref(k) for k in by]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_inf"))
 
 
 def replace_infinite(
@@ -84,18 +93,18 @@ def replace_infinite(
 
 
 def _drop_dirty_groups(df: DataFrame, by: Sequence[str], prof: CellProfile | None) -> DataFrame:
-    dirty = any_of([infinite(ref(c)) for c in floating_columns(df, exclude=by)])
-    gaps = any_of([missing(df, c) for c in df.columns if c not in by])
+    df = df.withColumn("__cells", cell_array(df, [c for c in df.columns if c not in by]))
+    clean = ~(has_gap(F.col("__cells")) | has_infinity(F.col("__cells")))
     if by:
-        prof = prof or profile(df, by)
+        prof = prof or profile(df.drop("__cells"), by)
         flags = settle(
             prof.totals().select(*[ref(k) for k in by], (F.col("infinity_values") > 0).alias("__hit"))
         )
         wide = attach(df, flags, by)
-        return wide.filter(~(F.coalesce(F.col("__hit"), F.lit(False)) & (dirty | gaps))).drop("__hit")
-    if not (prof or profile(df)).columns_with("n_inf"):
-        return df
-    return df.filter(~(dirty | gaps))
+        return wide.filter(~F.coalesce(F.col("__hit"), F.lit(False)) | clean).drop("__hit", "__cells")
+    if not (prof or profile(df.drop("__cells"))).columns_with("n_inf"):
+        return df.drop("__cells")
+    return df.filter(clean).drop("__cells")
 
 
-__all__ = ["INFINITY", "LARGE_VALUE", "count_infinite", "replace_infinite"]
+__all__ = ["LARGE_VALUE", "count_infinite", "replace_infinite"]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.cells import missing, numeric_columns, ref, total_of
+from tidewell.functions.cells import cell_array, count_gaps, missing, numeric_columns, ref
 from tidewell.operators.grouping import attach
 from tidewell.operators.profile import CellProfile, profile
 from tidewell.operators.quantiles import quantile_values
@@ -16,8 +16,10 @@ from tidewell.session import settle
 
 def count_missing(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``by..., n_missing``: NULL or NaN over all columns of each group."""
-    gaps = total_of([missing(df, c) for c in df.columns if c not in by])
-    return df.groupBy(*[ref(k) for k in by]).agg(F.coalesce(F.sum(gaps), F.lit(0)).alias("n_missing"))
+    cells = cell_array(df, [c for c in df.columns if c not in by])
+    packed = df.select(*[ref(k) for k in by], cells.alias("cells"))
+    packed = packed.withColumn("n", count_gaps(F.col("cells")))
+    return packed.groupBy(*[ref(k) for k in by]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_missing"))
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -16,29 +16,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.cells import INFINITY, any_of, floating_columns, infinite, missing, ref
+from tidewell.functions.cells import cell_array, has_gap, has_infinity, is_dirty, is_gap, is_infinite, ref
 from tidewell.session import settle
 
 ROW_MISSING = "*missing"  # pseudo column: missing where any cell of the row is missing
 ROW_DIRTY = "*dirty"  # pseudo column: missing where any cell of the row is missing or infinite
 
 
-def explode_cells(df: DataFrame, by: Sequence[str], cells: Sequence[Column]) -> DataFrame:
-    """``(by..., pos, v)`` with one row per cell; ``cells`` are double-typed columns."""
-    return df.select(*[ref(k) for k in by], F.posexplode(F.array(*cells)).alias("pos", "v"))
+def explode_cells(df: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``(by..., pos, v)`` with one row per cell."""
+    return df.select(*[ref(k) for k in by], F.posexplode(cell_array(df, names)).alias("pos", "v"))
 
 
 def name_of(names: Sequence[str], pos: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), pos + 1)
 
 
-def as_cell(df: DataFrame, name: str) -> Column:
-    """Numeric columns as doubles; of other types only the missing flag matters."""
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return ref(name).cast("double")
-    return F.when(ref(name).isNotNull(), F.lit(0.0))
-
-
 @dataclass(frozen=True)
 class CellProfile:
     """Settled cell statistics, one row per group and column."""
@@ -94,23 +87,18 @@ def profile_cells(
 ) -> DataFrame:
     """Lazy profile: ``by..., column, rows, n_inf, n_missing, finite_min/max/sum``."""
     names = [c for c in (columns or df.columns) if c not in by]
-    floats = set(floating_columns(df))
-    gaps = any_of([missing(df, c) for c in names])
-    infs = any_of([infinite(ref(c)) for c in names if c in floats])
-    cells = [as_cell(df, c) for c in names] + [
-        F.when(~gaps, F.lit(0.0)),
-        F.when(~(gaps | infs), F.lit(0.0)),
-    ]
-    long = explode_cells(df, by, cells)
+    packed = df.select(*[ref(k) for k in by], cell_array(df, names).alias("__cells"))
+    gap_row = has_gap(F.col("__cells"))
+    marks = F.array(*[F.when(~m, F.lit(0.0)) for m in (gap_row, gap_row | has_infinity(F.col("__cells")))])
+    long = packed.select(*[ref(k) for k in by], F.posexplode(F.concat("__cells", marks)).alias("pos", "v"))
     v = F.col("v")
-    is_inf = F.abs(v) == F.lit(INFINITY)
-    is_gap = v.isNull() | F.isnan(v)
-    finite = F.when(~is_inf & ~is_gap, v)
+    is_inf, gap = is_infinite(v), is_gap(v)
+    finite = F.when(~is_dirty(v), v)
     keys = [ref(k) for k in by]
     stats = long.groupBy(*keys, "pos").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_inf).alias("n_inf"),
-        F.count_if(is_gap).alias("n_missing"),
+        F.count_if(gap).alias("n_missing"),
         F.min(finite).alias("finite_min"),
         F.max(finite).alias("finite_max"),
         F.sum(finite).alias("finite_sum"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.cells import floating_columns, infinite, missing, ref, total_of
+from tidewell.functions.cells import cell_array, count_gaps, count_infinities, ref
 
 
 def checked_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -24,14 +24,14 @@ def checked_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """
     names = [c for c in df.columns if c not in by]
     copies = df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
-    infs = total_of([infinite(ref(c)) for c in floating_columns(df, exclude=by)])
-    gaps = total_of([missing(df, c) for c in names])
+    packed = copies.select(*[ref(k) for k in by], "__n", cell_array(df, names).alias("__cells"))
+    infs, gaps = count_infinities(F.col("__cells")), count_gaps(F.col("__cells"))
     n = F.col("__n")
 
     def total(column):
         return F.coalesce(F.sum(column), F.lit(0))
 
-    return copies.groupBy(*[ref(k) for k in by]).agg(
+    return packed.groupBy(*[ref(k) for k in by]).agg(
         total(n).alias("total_rows"),
         total(n * infs).alias("infinity_values"),
         total(n * gaps).alias("missing_values"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.cells import ref
 from tidewell.operators.grouping import attach
-from tidewell.operators.profile import as_cell, explode_cells
+from tidewell.operators.profile import explode_cells
 from tidewell.session import settle
 
 SETTLE_AT = 200_000
@@ -38,7 +38,7 @@ def quantile_values(
 ) -> DataFrame:
     """``by..., name: array<double>``, column-major: all probabilities of the first column first."""
     keys = [ref(k) for k in by]
-    cells = explode_cells(df, by, [as_cell(df, c) for c in columns])
+    cells = explode_cells(df, by, columns)
     cells = cells.filter(F.col("v").isNotNull() & ~F.isnan("v"))
     grouped = cells.groupBy(*keys, "pos")
     points = [float(p) for p in probabilities]

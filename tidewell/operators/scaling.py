@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.cells import ref
-from tidewell.operators.profile import as_cell, explode_cells
+from tidewell.operators.profile import explode_cells
 from tidewell.operators.quantiles import quantiles
 
 METHODS = ("standard", "minmax", "robust")
@@ -44,7 +44,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], method: str = "standard",
         width = {c: stats[c][0.75] - stats[c][0.25] for c in names}
     else:
         v = F.when(~F.isnan("v"), F.col("v"))
-        cells = explode_cells(df, (), [as_cell(df, c) for c in names]).withColumn("v", v)
+        cells = explode_cells(df, (), names).withColumn("v", v)
         pair = (
             (F.min("v"), F.max("v") - F.min("v"))
             if method == "minmax"

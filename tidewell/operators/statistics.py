@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.cells import numeric_columns, ref
 from tidewell.operators.grouping import attach
-from tidewell.operators.profile import as_cell, explode_cells, name_of
+from tidewell.operators.profile import explode_cells, name_of
 from tidewell.operators.quantiles import quantiles
 
 
@@ -24,7 +24,7 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def _moments(df: DataFrame, columns: Sequence[str], by: Sequence[str], *aggregates) -> DataFrame:
-    cells = explode_cells(df, by, [as_cell(df, c) for c in columns])
+    cells = explode_cells(df, by, columns)
     v = F.when(~F.isnan("v"), F.col("v"))
     grouped = cells.withColumn("v", v).groupBy(*[ref(k) for k in by], "pos").agg(*aggregates)
     keep = [c for c in grouped.columns if c not in by and c != "pos"]

@@ -134,8 +134,8 @@ def run_etl(
     ``schema`` holds the normalised names.  A file without readable rows shows status
     ``empty``; a failed check is reported and the file is still written.
     """
-    raw = read_csv_folder(spark, csv_folder, schema, normalize=True)
     headers = settle(csv_headers(spark, csv_folder).withColumn(SOURCE, file_name(F.col("path"))))
+    raw = read_csv_folder(spark, csv_folder, schema, normalize=True, headers=headers)
     first = headers.orderBy("path").first()["header"]
     cleaned = clean_table(raw, [SOURCE], infinity, missing, columns_renamed=renamed_count(first), **clean_options)
     write_table(cleaned.frame, output, fmt, compression, [SOURCE], mode)
@@ -144,7 +144,7 @@ def run_etl(
     else:
         written = read_written_csv(spark, output, cleaned.frame.schema)
     checks = validate_all(written, [SOURCE], normalized(first), schema)
-    layout = header_consistency(spark, csv_folder).select(F.col("file"), F.col("consistent"))
+    layout = header_consistency(spark, csv_folder, headers=headers).select(F.col("file"), F.col("consistent"))
     checks = (
         checks.join(layout, F.col("file") == ref(SOURCE), "left")
         .withColumn("schema_valid", F.coalesce("consistent", F.lit(True)))

@@ -15,8 +15,10 @@ from tidewell.operators.correlation import correlated_columns
 from tidewell.operators.infinity import replace_infinite
 from tidewell.operators.missing import drop_missing, fill_missing
 from tidewell.operators.models import FOREST, model_importance, train_forest
+from tidewell.operators.profile import profile
 from tidewell.operators.sampling import DEFAULT_ROWS, sample_exact
 from tidewell.operators.statistics import low_variance
+from tidewell.session import durable
 
 # Thresholds of the filters and the number of features kept.
 CORRELATION = 0.95
@@ -29,8 +31,6 @@ def clean_split(df: DataFrame, infinity: str = "max", missing: str = "drop", fit
 
     ``infinity`` is ``max`` (a column without a finite value becomes missing) or ``null``.
     """
-    from tidewell.operators.profile import profile
-
     fitted = profile(fit_on) if fit_on is not None and infinity == "max" else None
     finite = replace_infinite(df, (), infinity, fallback=None, fitted=fitted)
     if missing == "drop":
@@ -53,6 +53,8 @@ def feature_importance(
     """
     sample = df if rows is None else sample_exact(df, rows, key, params.get("seed", FOREST["seed"]))
     narrow = sample.select(*[ref(c).cast("double").alias(c) for c in features], ref(label))
+    if rows is not None:  # the fit reads its input several times; the sample is small enough to keep
+        narrow = durable(narrow, "sample")
     model = train_forest(narrow, features, label, **params)
     return model_importance(model, None).select("feature", "importance", "rank")
 

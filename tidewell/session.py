@@ -25,6 +25,9 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf)
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # one task is one core; array libraries must not start threads of their own
+        .config("spark.executorEnv.OMP_NUM_THREADS", "1")
+        .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
     )
     if master:
         builder = builder.master(master)

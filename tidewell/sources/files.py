@@ -122,9 +122,12 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def header_consistency(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def header_consistency(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", headers: DataFrame | None = None
+) -> DataFrame:
     """``file, n_columns, missing_columns, extra_columns, consistent`` against the first file by path."""
-    found = csv_headers(spark, folder, pattern).withColumn("file", file_name(F.col("path")))
+    found = headers if headers is not None else csv_headers(spark, folder, pattern)
+    found = found.withColumn("file", file_name(F.col("path")))
     first = found.groupBy().agg(F.min_by("header", "path").alias("h")).first()
     expected = F.array(*[F.lit(c) for c in (first["h"] if first and first["h"] else [])]).cast("array<string>")
     compared = found.select(
@@ -145,6 +148,7 @@ def read_csv_folder(
     pattern: str = "*.csv",
     skip_bad_files: bool = True,
     normalize: bool = False,
+    headers: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """All CSV files of a folder in one scan per header layout, with ``source_file``.
@@ -155,7 +159,7 @@ def read_csv_folder(
     ``normalize`` is set.
     """
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in csv_headers(spark, folder, pattern).collect():
+    for row in (headers if headers is not None else csv_headers(spark, folder, pattern)).collect():
         layouts[tuple(row["header"])].append(row["path"])
     if not layouts:
         raise FileNotFoundError(f"{folder}/{pattern}")
