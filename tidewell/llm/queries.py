@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, decontaminate
+from tidewell.llm import bpe, decontaminate, simhash
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -70,3 +70,9 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and items of the benchmark found in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_simhash")
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
