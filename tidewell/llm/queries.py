@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, decontaminate, simhash
+from tidewell.llm import bpe, decontaminate, quality, simhash
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -76,3 +76,10 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document, learned from the labelled documents not held out."""
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
+    return quality.classify(table(spark, sf_dir, "documents"), labels)
