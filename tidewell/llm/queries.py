@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, decontaminate, quality, simhash
+from tidewell.llm import bpe, decontaminate, langid, quality, simhash
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -83,3 +83,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality score of every document, learned from the labelled documents not held out."""
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
     return quality.classify(table(spark, sf_dir, "documents"), labels)
+
+
+@query("op7_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the documents not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
