@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, decontaminate, langid, quality, simhash
+from tidewell.llm import bpe, decontaminate, langid, quality, secrets, simhash
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -89,3 +89,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the documents not held out."""
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secrets")
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret candidates of every document, with the spans that ownership counts add."""
+    return secrets.report(table(spark, sf_dir, "documents"))
