@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, chat, decontaminate, langid, quality, secrets, simhash
+from tidewell.llm import bpe, chat, decontaminate, langid, lines, quality, secrets, simhash
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -130,3 +130,49 @@ def chat_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-1, 0, "user", hostile), (-1, 1, "assistant", hostile)], rows.schema)
     return chat.report(rows.unionAll(planted))
+
+
+OP10_SQL = f"""
+WITH l AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS every FROM documents
+), d AS (
+  SELECT doc_id, every,
+    list_filter(list_zip(every, range(len(every))), lambda x: length(trim(x[1], ' ' || chr(9) || chr(13))) > 0) AS solid
+  FROM l
+), w AS (
+  SELECT doc_id, s, k, md5(array_to_string(list_transform(solid[s:s + k - 1], lambda x: x[1]), chr(10))) AS id,
+    k >= {lines.MIN_LINES} OR length(solid[s][1]) >= {lines.MIN_CHARS} AS counts
+  FROM (
+    SELECT doc_id, solid, k, unnest(range(1, len(solid) - k + 2)) AS s
+    FROM d, (SELECT unnest(list_transform(range(0, 20), lambda i: 1 << i)) AS k) WHERE len(solid) >= k
+  )
+), copies AS (
+  SELECT doc_id, s, k, counts FROM (
+    SELECT *, row_number() OVER (PARTITION BY id, k ORDER BY doc_id, s) AS nth FROM w
+  ) WHERE nth > 1
+), deep AS (SELECT doc_id, s, max(k) AS deep FROM copies GROUP BY ALL),
+starts AS (SELECT c.doc_id, c.s, c.k, deep FROM copies c JOIN deep USING (doc_id, s) WHERE counts AND k <= {lines.MIN_LINES}),
+gone AS (
+  SELECT doc_id, p, max(deep) AS deep FROM (SELECT doc_id, deep, unnest(range(s, s + k)) AS p FROM starts) GROUP BY ALL
+), runs AS (
+  SELECT doc_id, g, count(*) AS n, max(deep) AS deep, list(p) AS ps
+  FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM gone) GROUP BY ALL
+), sums AS (
+  SELECT doc_id, sum(n) AS n_removed, count(*) AS n_runs, max(n) AS longest_run, max(deep) AS longest_copy,
+    flatten(list(ps)) AS ps
+  FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, len(solid)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_runs, 0)::BIGINT AS n_runs, coalesce(longest_run, 0)::BIGINT AS longest_run,
+  coalesce(longest_copy, 0)::BIGINT AS longest_copy,
+  sha256(array_to_string(list_transform(list_filter(list_zip(every, range(len(every))),
+    lambda x: NOT coalesce(list_contains(list_transform(ps, lambda p: solid[p][2]), x[2]), false)), lambda x: x[1]), chr(10)))
+    AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
+@query("op10_line_dedup", OP10_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are later copies of line runs, and a digest of what stays."""
+    return lines.report(table(spark, sf_dir, "documents"))
