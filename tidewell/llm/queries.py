@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, chat, decontaminate, langid, lines, quality, secrets, simhash
+from tidewell.llm import bpe, chat, decontaminate, langid, lines, quality, secrets, simhash, substrings
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -176,3 +176,29 @@ FROM d LEFT JOIN sums USING (doc_id)
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that are later copies of line runs, and a digest of what stays."""
     return lines.report(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS id
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id, s) AS nth FROM win) WHERE nth > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM later) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d)
+  ANTI JOIN (SELECT doc_id, unnest(ps) AS p FROM gone) USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op5_substring_dedup", OP5_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows that also start earlier, and a digest of the words that stay."""
+    return substrings.report(table(spark, sf_dir, "documents"))
