@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, chat, decontaminate, langid, lines, quality, secrets, simhash, substrings
+from tidewell.llm import ann, bpe, chat, decontaminate, langid, lines, quality, secrets, simhash, substrings
 from tidewell.llm.common import table
 
 QUERIES: dict = {}
@@ -202,3 +202,10 @@ FROM d LEFT JOIN kept USING (doc_id)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows that also start earlier, and a digest of the words that stay."""
     return substrings.report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_multiprobe")
+def multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for every row whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
