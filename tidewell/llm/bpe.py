@@ -285,6 +285,34 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out: st
     return map_batches(kept, make, schema)
 
 
+def checked_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, lang, source, n_tokens, ids, round_trip``: ids, and whether decoding gives the text's bytes."""
+    shared = _shared(docs, path, pattern)
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    rows = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
+
+    def make():
+        tool = shared.value
+
+        def step(batch):
+            ids, same = [], []
+            for text in batch.column(len(kept)).to_pylist():
+                ids.append(tool.encode(text))
+                same.append(tool.decode(ids[-1]) == text.encode())
+            sizes = [len(x) for x in ids]
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype("<i4")))
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(kept)], pa.array(sizes, pa.int64()), lists, pa.array(same)],
+                names=[*kept, "n_tokens", "ids", "round_trip"],
+            )
+
+        return step
+
+    return map_batches(rows, make, types + ", n_tokens long, ids array<int>, round_trip boolean")
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode, then decode, every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
