@@ -40,6 +40,11 @@ def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, row``: whole rows as a struct, so their column names cannot clash with a join's."""
+    return docs.select("doc_id", text_key().alias("text_key"), F.struct("*").alias("row"))
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
 ) -> DataFrame:

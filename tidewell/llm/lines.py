@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import text_key
+from tidewell.llm.common import packed, text_key
 from tidewell.session import durable
 
 MIN_LINES = 2
@@ -130,20 +130,15 @@ def _masked(removed: DataFrame) -> DataFrame:
 
 
 def _cut(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
-    """``docs`` with ``__text`` (what stays), ``__lines`` and the columns of ``later_copies``, prefixed."""
+    """``row`` (the columns of ``docs``), ``left`` (the text that stays) and the counts of ``later_copies``."""
     gone = durable(_masked(later_copies(docs, min_lines, min_chars)), "removed")
-    gone = gone.select(
-        F.col("doc.doc_id").alias("__id"),
-        F.col("doc.text_key").alias("__key"),
-        *[F.col(c).alias(f"__{c}") for c in gone.columns if c != "doc"],
-    )
-    own = docs.withColumn("__own", text_key())
-    same = own["doc_id"].eqNullSafe(gone["__id"]) & (own["__own"] == gone["__key"])
+    own = packed(docs)
+    same = own["doc_id"].eqNullSafe(gone["doc.doc_id"]) & (own["text_key"] == gone["doc.text_key"])
     rows = own.join(gone, same, "left")
-    staying = F.filter(_lines(F.col("text")), lambda x, i: F.coalesce(F.get(F.col("__stay"), i), F.lit(True)))
-    return rows.withColumn(
-        "__text", F.when(F.col("__stay").isNull(), F.col("text")).otherwise(F.array_join(staying, "\n"))
-    ).drop("__id", "__key", "__own", "__stay")
+    text = F.col("row.text")
+    staying = F.filter(_lines(text), lambda x, i: F.coalesce(F.get(F.col("stay"), i), F.lit(True)))
+    left = F.when(F.col("stay").isNull(), text).otherwise(F.array_join(staying, "\n"))
+    return rows.select("row", left.alias("left"), *[c for c in gone.columns if c not in ("doc", "stay")])
 
 
 def _solid(text: Column) -> Column:
@@ -155,10 +150,10 @@ def report(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHA
     rows = _cut(docs.select("doc_id", "text"), min_lines, min_chars)
     names = ["n_removed", "n_runs", "longest_run", "longest_copy"]
     return rows.select(
-        "doc_id",
-        _solid(F.col("text")).cast("long").alias("n_lines"),
-        *[F.coalesce(F.col(f"__{n}"), F.lit(0)).cast("long").alias(n) for n in names],
-        F.sha2(F.coalesce("__text", F.lit("")), 256).alias("kept_sha256"),
+        "row.doc_id",
+        _solid(F.col("row.text")).cast("long").alias("n_lines"),
+        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names],
+        F.sha2(F.coalesce("left", F.lit("")), 256).alias("kept_sha256"),
     )
 
 
@@ -167,8 +162,6 @@ def remove_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int =
 
     A document that loses all its non-blank lines is dropped; one that had none before stays.
     """
-    columns = docs.columns
     rows = _cut(docs, min_lines, min_chars)
-    left = F.col("__n_removed").isNull() | (_solid(F.col("__text")) > 0)
-    rows = rows.filter(left)
-    return rows.select(*[F.col("__text").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
+    rows = rows.filter(F.col("n_removed").isNull() | (_solid(F.col("left")) > 0))
+    return rows.select(*[F.col("left").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

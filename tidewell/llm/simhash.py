@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import ids_and_texts, map_batches, text_key
+from tidewell.llm.common import ids_and_texts, map_batches, packed, text_key
 from tidewell.llm.components import components
 from tidewell.session import durable
 
@@ -181,10 +181,11 @@ def keep_one(docs: DataFrame, k: int = WORDS_PER_SHINGLE, max_bits: int = MAX_BI
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     least = prints.groupBy("fp").agg(first.alias("one")).join(roots, "fp")
     chosen = least.groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.text_key")
-    chosen = durable(chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "kept")
-    own = docs.withColumn("__mark", text_key())
-    kept = own.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__key")), "left_semi")
+    chosen = durable(chosen, "kept")
+    own = packed(docs)
+    same = own["doc_id"].eqNullSafe(chosen["doc_id"]) & (own["text_key"] == chosen["text_key"])
+    kept = own.join(chosen, same, "left_semi")
     rows = prints.count()
     if prints.select("doc_id", "text_key").distinct().count() < rows:  # a row may be listed more than once
-        kept = kept.dropDuplicates(["doc_id", "__mark"])
-    return kept.drop("__mark")
+        kept = kept.dropDuplicates(["doc_id", "text_key"])
+    return kept.select("row.*")
