@@ -61,7 +61,7 @@ def test_headers_without_arrow_storage(spark, raw, monkeypatch):
     def refuse(path):
         raise ValueError(path)
 
-    monkeypatch.setattr(files, "_locate", refuse)
+    monkeypatch.setattr(files, "locate", refuse)
     got = csv_headers(spark, raw).collect()
     assert {tuple(r["header"]) for r in got} == want and len(got) == 3
 
@@ -172,3 +172,60 @@ def test_broker_needs_its_connector(spark):
         read_topic(spark, "localhost:9092", "flows", "group", max_offsets_per_trigger=10)
     with pytest.raises(Exception, match="(?i)kafka"):
         publish(spark.range(1), "localhost:9092", "flows")
+
+
+def test_spellings_quotes_and_line_breaks(spark, tmp_path):
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    (folder / "a.csv").write_text('x,t\n1.0,"say ""hi"", ok"\ninf,NA\n-INF,"two\nlines"\n n/a ,plain\nword,z\n')
+    schema = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("t", T.StringType())])
+    got = [tuple(r) for r in read_csv(spark, str(folder), schema, multi_line=True).collect()]
+    assert got == [(1.0, 'say "hi", ok'), (float("inf"), None), (float("-inf"), "two\nlines"), (None, "plain"), (None, "z")]
+    rows = read_csv_folder(spark, str(folder), schema, multi_line=True, audit=True, missing_text=False)
+    assert [r.unparsed_cells for r in rows.collect()] == [0, 0, 0, 0, 1]
+    assert [r.t for r in rows.collect()][1] == "NA"
+
+
+def test_infinite_spellings_survive_the_job(spark, tmp_path):
+    folder = tmp_path / "inf"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,Label\n1.0,a\ninf,a\n-inf,a\n2.0,b\n3.0\n")
+    schema = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("Label", T.StringType())])
+    report = run_etl(spark, str(folder), str(tmp_path / "out"), schema).filter("source_file is null").first()
+    assert (report.original_rows, report.infinity_values, report.malformed_records, report.status) == (5, 2, 1, "success")
+    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1.0, 2.0, 3.0, 3.0]
+
+
+def test_cut_file_is_an_error_or_left_out_whole(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "cut"
+    folder.mkdir()
+    lines = "x\n" + "".join(f"{i}.5\n" for i in range(20000))
+    (folder / "good.csv.gz").write_bytes(gzip.compress(b"x\n1.0\n2.0\n"))
+    (folder / "half.csv.gz").write_bytes(gzip.compress(lines.encode())[: len(lines) // 8])
+    schema = T.StructType([T.StructField("x", T.DoubleType())])
+    with pytest.raises(OSError, match="half"):
+        read_csv_folder(spark, str(folder), schema, "*.csv.gz")
+    left = read_csv_folder(spark, str(folder), schema, "*.csv.gz", skip_bad_files=True)
+    assert sorted(r.x for r in left.collect()) == [1.0, 2.0]
+
+
+def test_validation_decodes_pages_and_keeps_paths_apart(spark, tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet as pq
+
+    for part, n in (("a", 1000), ("b", 500)):
+        (tmp_path / "t" / f"k={part}").mkdir(parents=True)
+        pq.write_table(pa.table({"x": list(range(n)), "y": [str(i) for i in range(n)]}), tmp_path / "t" / f"k={part}" / "same.parquet")
+    got = {r.file: (r.rows, r.valid) for r in validate_parquet(spark, str(tmp_path / "t")).collect()}
+    assert got == {"k=a/same.parquet": (1000, True), "k=b/same.parquet": (500, True)}
+    broken = tmp_path / "t" / "k=a" / "same.parquet"
+    data = bytearray(broken.read_bytes())
+    tail = int.from_bytes(data[-8:-4], "little") + 8
+    data[4 : len(data) - tail] = bytes(len(data) - tail - 4)
+    broken.write_bytes(bytes(data))
+    got = {r.file: r.valid for r in validate_parquet(spark, str(tmp_path / "t")).collect()}
+    assert got == {"k=a/same.parquet": False, "k=b/same.parquet": True}
+    quick = {r.file: r.rows for r in files.parquet_row_counts(spark, str(tmp_path / "t")).collect()}
+    assert quick == {"k=a/same.parquet": 1000, "k=b/same.parquet": 500}

@@ -1,7 +1,7 @@
 """The cleaning job: names, infinity, missing values, checks, report.
 
-Two scans and one shuffle of data: the profile pass, the narrow rewrite-and-write pass, and the
-duplicate count over the written result.  All cleaning statistics come from the profile.
+The CSV text is parsed once and landed as Parquet; the profile pass and the narrow rewrite-and-write
+pass read that, and the checks read the written result.  All cleaning statistics come from the profile.
 """
 
 from __future__ import annotations
@@ -20,8 +20,16 @@ from tidewell.operators.infinity import LARGE_VALUE, replace_infinite
 from tidewell.operators.missing import drop_missing, drop_sparse_columns, fill_missing
 from tidewell.operators.profile import CellProfile, profile
 from tidewell.operators.quality import validate_all
-from tidewell.session import settle
-from tidewell.sources.files import SOURCE, csv_headers, file_name, header_consistency, read_csv_folder
+from tidewell.session import durable, settle
+from tidewell.sources.files import (
+    MALFORMED_RECORDS,
+    SOURCE,
+    UNPARSED_CELLS,
+    csv_headers,
+    header_consistency,
+    path_within,
+    read_csv_folder,
+)
 from tidewell.sources.sinks import write_table
 
 MISSING = ("drop", "median", "mean", "forward_fill")
@@ -127,16 +135,24 @@ def run_etl(
     fmt: str = "parquet",
     compression: str | None = None,
     mode: str = "errorifexists",
+    pattern: str = "*.csv",
     **clean_options,
 ) -> DataFrame:
     """Clean a folder of CSV files into ``output`` and return the run report.
 
-    ``schema`` holds the normalised names.  A file without readable rows shows status
-    ``empty``; a failed check is reported and the file is still written.
+    ``schema`` holds the normalised names.  A file that cannot be read to its end shows status ``failed`` and none of its
+    rows is written; one without rows shows ``empty``; a failed check is reported and the file is still
+    written.  The overall row is ``failed`` if any file is, else ``success``.
     """
-    headers = settle(csv_headers(spark, csv_folder).withColumn(SOURCE, file_name(F.col("path"))))
-    raw = read_csv_folder(spark, csv_folder, schema, normalize=True, headers=headers)
-    first = headers.orderBy("path").first()["header"]
+    headers = settle(csv_headers(spark, csv_folder, pattern).withColumn(SOURCE, path_within(F.col("path"), csv_folder)))
+    raw = read_csv_folder(
+        spark, csv_folder, schema, pattern, normalize=True, headers=headers, skip_bad_files=True, audit=True
+    )
+    landed = durable(raw, "landed")
+    marks = [UNPARSED_CELLS, MALFORMED_RECORDS]
+    audit = settle(landed.groupBy(ref(SOURCE)).agg(*[F.sum(c).alias(c) for c in marks]))
+    raw = landed.drop(*marks)
+    first = headers.filter("error is null").orderBy("path").first()["header"]
     cleaned = clean_table(raw, [SOURCE], infinity, missing, columns_renamed=renamed_count(first), **clean_options)
     write_table(cleaned.frame, output, fmt, compression, [SOURCE], mode)
     if fmt == "parquet":
@@ -151,12 +167,24 @@ def run_etl(
         .withColumn("validation_passed", F.col("validation_passed") & F.col("schema_valid"))
         .drop("file", "consistent")
     )
-    listed = headers.select(F.col(SOURCE).alias("__listed"))
+    listed = headers.select(F.col(SOURCE).alias("__listed"), "error")
     stats = listed.join(cleaned.stats, F.col("__listed") == ref(SOURCE), "left")
-    status = F.when(ref(SOURCE).isNull(), F.lit("empty")).otherwise(F.lit("success"))
+    status = (
+        F.when(F.col("error").isNotNull(), F.lit("failed"))
+        .when(ref(SOURCE).isNull(), F.lit("empty"))
+        .otherwise(F.lit("success"))
+    )
     stats = stats.withColumn("status", status).withColumn(SOURCE, F.col("__listed")).drop("__listed")
-    report = run_report(stats.na.fill(0), checks, SOURCE).join(
-        stats.select(F.col(SOURCE).alias("__s"), "status"), F.col("__s") == ref(SOURCE), "left"
+    found = stats.join(audit.withColumnRenamed(SOURCE, "__a"), F.col("__a") == ref(SOURCE), "left")
+    found = found.rollup(ref(SOURCE)).agg(
+        F.when(F.count_if(F.col("status") == "failed") > 0, F.lit("failed")).otherwise(
+            F.when(F.grouping(ref(SOURCE)) == 1, F.lit("success")).otherwise(F.max("status"))
+        ).alias("status"),
+        F.max("error").alias("error"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in marks],
+    )
+    report = run_report(stats.drop("error").na.fill(0), checks, SOURCE).join(
+        found.withColumnRenamed(SOURCE, "__s"), F.col("__s").eqNullSafe(ref(SOURCE)), "left"
     ).drop("__s")
     report = settle(report)
     if report_path:
@@ -166,4 +194,5 @@ def run_etl(
 
 def read_written_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read back what ``write_table`` wrote as CSV partitioned by source."""
-    return spark.read.schema(schema).option("header", "true").option("nanValue", "NaN").csv(path)
+    reader = spark.read.schema(schema).option("header", "true").option("nanValue", "NaN")
+    return reader.option("quote", '"').option("escape", '"').csv(path)

@@ -3,42 +3,116 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewell.fixtures import DIRTY_SQL, ROW_ORDER, dirty_lineitem, table
+from tidewell.fixtures import DIRTY_SQL, dirty_lineitem, table
+from tidewell.operators.grouping import attach
 from tidewell.operators.quality import validate_all
 from tidewell.plans.etl import clean_table, run_etl, run_report
 from tidewell.registry.base import query
 from tidewell.registry.cleaning import KEY_SQL, KEYS, MAX_SQL
-from tidewell.session import scratch_path
-from tidewell.sources.files import header_consistency, read_csv, read_parquet_files, union_files, validate_parquet
+from tidewell.session import scratch_path, settle
+from tidewell.sources.files import (
+    header_consistency,
+    list_files,
+    locate,
+    read_csv,
+    read_parquet_files,
+    union_files,
+    validate_parquet,
+)
 from tidewell.sources.sinks import csv_to_parquet, write_by_date_hour, write_table
 
 BY = ["source_file"]
 CELLS = [*KEYS, "rate", "burst", "note"]
 
 
+KIND_SQL = """CASE WHEN {0} IS NULL THEN 'null' WHEN isnan({0}) THEN 'nan' WHEN {0} = 'Infinity' THEN '+inf'
+           WHEN {0} = '-Infinity' THEN '-inf' ELSE 'finite' END"""
+
+
+def kind_of(cell):
+    return (
+        F.when(cell.isNull(), F.lit("null"))
+        .when(F.isnan(cell), F.lit("nan"))
+        .when(cell == float("inf"), F.lit("+inf"))
+        .when(cell == float("-inf"), F.lit("-inf"))
+        .otherwise(F.lit("finite"))
+    )
+
+
+def finite(cell):
+    return F.when(kind_of(cell) == "finite", cell)
+
+
 @query(
     "csv_roundtrip",
-    f"""WITH {DIRTY_SQL} SELECT {KEY_SQL}, note, CASE WHEN isfinite(rate) THEN rate END AS rate,
-      CASE WHEN rate IS NULL THEN 'null' WHEN isnan(rate) THEN 'nan' WHEN rate = 'Infinity' THEN '+inf'
-           WHEN rate = '-Infinity' THEN '-inf' ELSE 'finite' END AS kind FROM dirty""",
+    f"""WITH {DIRTY_SQL} SELECT * EXCLUDE (rate, burst, l_shipdate), CAST(l_shipdate AS VARCHAR) AS shipped,
+      CASE WHEN isfinite(rate) THEN rate END AS rate, {KIND_SQL.format("rate")} AS rate_kind,
+      CASE WHEN isfinite(burst) THEN burst END AS burst, {KIND_SQL.format("burst")} AS burst_kind FROM dirty""",
 )
 def csv_roundtrip(spark, sf_dir):
-    """Infinities, NaN and NULL survive the way through CSV."""
-    dirty = dirty_lineitem(spark, sf_dir).select(*KEYS, "note", "rate")
+    """All columns of the dirty table survive the way through CSV: infinities, NaN, NULL and times too."""
+    dirty = dirty_lineitem(spark, sf_dir)
     path = scratch_path(spark, "csv")
     write_table(dirty, path, "csv")
-    rate = F.col("rate")
-    kind = (
-        F.when(rate.isNull(), F.lit("null"))
-        .when(F.isnan(rate), F.lit("nan"))
-        .when(rate == float("inf"), F.lit("+inf"))
-        .when(rate == float("-inf"), F.lit("-inf"))
-        .otherwise(F.lit("finite"))
+    back = read_csv(spark, path, dirty.schema)
+    return back.select(
+        *[c for c in back.columns if c not in ("rate", "burst", "l_shipdate")],
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"),
+        finite(F.col("rate")).alias("rate"),
+        kind_of(F.col("rate")).alias("rate_kind"),
+        finite(F.col("burst")).alias("burst"),
+        kind_of(F.col("burst")).alias("burst_kind"),
     )
-    finite = F.when(kind == "finite", rate)
-    return read_csv(spark, path, dirty.schema).select(*KEYS, "note", finite.alias("rate"), kind.alias("kind"))
+
+
+SPELLED = {
+    "+inf": ["inf", "Inf", "+INF", "Infinity", "INFINITY"],
+    "-inf": ["-inf", "-Infinity", "-INF"],
+    "nan": ["nan", "NaN", "-nan"],
+    "null": ["", "NA", "N/A", "null", "NULL", "None", "#N/A", "<NA>"],
+    "1500": ["1.5e3", "1500", "+1500.0"],
+}
+SPELLINGS = [(text, kind) for kind, texts in SPELLED.items() for text in texts]
+ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+SPELLING_SQL = "[" + ", ".join(f"'{k}'" for _, k in SPELLINGS) + "]"
+
+
+@query(
+    "csv_spellings",
+    f"""WITH s AS (SELECT {", ".join(ROW_KEYS)}, {SPELLING_SQL}[1 + (l_orderkey * 7 + l_linenumber) % {len(SPELLINGS)}] AS k FROM lineitem)
+      SELECT * EXCLUDE k, CASE WHEN k = '1500' THEN 'finite' ELSE k END AS kind,
+        CASE WHEN k = '1500' THEN 1500.0::DOUBLE END AS cell FROM s""",
+)
+def csv_spellings(spark, sf_dir):
+    """Every spelling of infinity and of missing cells, one per row of lineitem."""
+    rows = table(spark, sf_dir, "lineitem")
+    at = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % len(SPELLINGS) + 1
+    texts = F.array(*[F.lit(t) for t, _ in SPELLINGS])
+    path = scratch_path(spark, "spellings")
+    write_table(rows.select(*ROW_KEYS, F.element_at(texts, at.cast("int")).alias("cell")), path, "csv")
+    schema = rows.select(*ROW_KEYS, F.lit(0.0).alias("cell")).schema
+    back = read_csv(spark, path, schema)
+    return back.select(*ROW_KEYS, kind_of(F.col("cell")).alias("kind"), finite(F.col("cell")).alias("cell"))
+
+
+@query(
+    "csv_quoting",
+    """SELECT 'documents' AS origin, doc_id AS id, lang AS other, md5(text) AS digest FROM documents
+    UNION ALL SELECT 'pages', page_id, url, md5(html) FROM pages""",
+)
+def csv_quoting(spark, sf_dir):
+    """Whole texts and pages through CSV: quotes, commas and line breaks inside cells."""
+    parts = []
+    for name, key, other, text in (("documents", "doc_id", "lang", "text"), ("pages", "page_id", "url", "html")):
+        rows = table(spark, sf_dir, name)
+        path = scratch_path(spark, "quoted")
+        write_table(rows, path, "csv")
+        back = read_csv(spark, path, rows.schema, missing_text=False, multi_line=True)
+        parts.append(
+            back.select(F.lit(name).alias("origin"), F.col(key).alias("id"), F.col(other).alias("other"), F.md5(text).alias("digest"))
+        )
+    return parts[0].unionAll(parts[1])
 
 
 @query("parquet_projection", "SELECT l_orderkey, l_quantity, l_returnflag, 'lineitem.parquet' AS source_file FROM lineitem")
@@ -62,16 +136,31 @@ def outer_union(spark, sf_dir):
     return union_files([customers, suppliers])
 
 
-@query("convert_stats", 'SELECT count(*) AS "rows", 11 AS "columns", TRUE AS smaller FROM lineitem')
+@query(
+    "convert_stats",
+    """SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity, CAST(max(l_shipdate) AS VARCHAR) AS latest,
+      (SELECT count(*) FROM lineitem) AS reported, TRUE AS files_match, TRUE AS smaller
+    FROM lineitem GROUP BY l_returnflag""",
+)
 def convert(spark, sf_dir):
-    """CSV files to Parquet; the total row of the conversion report."""
+    """CSV files to Parquet: converted content next to the report, whose rows per file are counted again."""
     rows = table(spark, sf_dir, "lineitem")
     source, target = scratch_path(spark, "raw"), scratch_path(spark, "converted")
-    write_table(rows, source, "csv")
+    write_table(rows.repartition(4, "l_orderkey"), source, "csv")
     report = csv_to_parquet(spark, source, target, rows.schema)
-    return report.filter(F.col("source_file").isNull()).select(
-        "rows", "columns", (F.col("parquet_bytes") < F.col("csv_bytes")).alias("smaller")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(source).groupBy(name.alias("name")).count()
+    compared = report.join(lines, F.col("name") == F.col("source_file"), "left").agg(
+        F.max(F.when(F.col("source_file").isNull(), F.col("rows"))).alias("reported"),
+        F.every(F.col("source_file").isNull() | (F.col("rows") == F.col("count") - 1)).alias("files_match"),
+        F.every(F.col("parquet_bytes") < F.col("csv_bytes")).alias("smaller"),
     )
+    content = spark.read.parquet(target).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("l_quantity").alias("quantity"),
+        F.date_format(F.max("l_shipdate"), "yyyy-MM-dd HH:mm:ss").alias("latest"),
+    )
+    return attach(content, settle(compared), [])
 
 
 @query(
@@ -110,6 +199,21 @@ def validation(spark, sf_dir):
     return validate_parquet(spark, sf_dir).select("file", "rows", "valid")
 
 
+@query(
+    "partition_validation",
+    """SELECT l_returnflag || '/' || l_linestatus AS place, count(*) AS "rows", TRUE AS valid
+    FROM lineitem GROUP BY ALL""",
+)
+def partition_validation(spark, sf_dir):
+    """Partition folders that hold files of the same names, each file counted on its own."""
+    path = scratch_path(spark, "partitioned")
+    rows = table(spark, sf_dir, "lineitem").repartition(3, "l_orderkey")
+    write_table(rows, path, "parquet", partition_by=["l_returnflag", "l_linestatus"])
+    place = F.regexp_replace("file", "l_returnflag=([^/]+)/l_linestatus=([^/]+)/.*", "$1/$2")
+    found = validate_parquet(spark, path).groupBy(place.alias("place"))
+    return found.agg(F.sum("rows").alias("rows"), F.every("valid").alias("valid"))
+
+
 @query(
     "partitioned_layout",
     """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(hour(ts) AS INT) AS hour, count(*) AS n,
@@ -163,21 +267,49 @@ def report(spark, sf_dir):
 
 @query(
     "etl_run",
-    STATS_SQL.replace("count(*) FILTER (WHERE isinf(rate)) + count(*) FILTER (WHERE isinf(burst))", "count(*) FILTER (WHERE isinf(rate))")
-    + """ SELECT original_rows, final_rows, infinity_values, missing_values, rows_dropped_nan, 8 AS columns_renamed,
-      TRUE AS validation_passed FROM stats WHERE source_file IS NULL""",
+    STATS_SQL
+    + """ SELECT original_rows, final_rows, infinity_values, missing_values, rows_dropped_nan, 17 AS columns_renamed,
+      0::BIGINT AS unparsed_cells, 0::BIGINT AS malformed_records, TRUE AS validation_passed, 'success' AS status
+      FROM stats WHERE source_file IS NULL""",
 )
 def etl_run(spark, sf_dir):
-    """The whole job from CSV files with untidy headers to cleaned Parquet and a stored report."""
-    columns = [*ROW_ORDER, "rate", "note", "Label"]
-    dirty = dirty_lineitem(spark, sf_dir).select(*columns)
+    """The whole job, all columns, from CSV files with untidy headers to cleaned Parquet and a stored report."""
+    dirty = dirty_lineitem(spark, sf_dir).drop("source_file")
     source = scratch_path(spark, "raw")
-    write_table(dirty.toDF(*[f" {c.replace('_', ' ')}" for c in columns]), source, "csv", **{"ignoreLeadingWhiteSpace": "false"})
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in dirty.schema])
+    write_table(dirty.toDF(*[f" {c.replace('_', ' ')}" for c in dirty.columns]), source, "csv")
     result = run_etl(
-        spark, source, scratch_path(spark, "clean"), schema, report_path=scratch_path(spark, "report"), infinity="max"
+        spark, source, scratch_path(spark, "clean"), dirty.schema, report_path=scratch_path(spark, "report"), infinity="max"
     )
     return result.filter(F.col("source_file").isNull()).select(
         "original_rows", "final_rows", "infinity_values", "missing_values", "rows_dropped_nan", "columns_renamed",
-        "validation_passed",
+        "unparsed_cells", "malformed_records", "validation_passed", "status",
+    )
+
+
+@query(
+    "etl_failed_file",
+    """SELECT count(*) AS rows_written, sum(l_quantity) AS quantity, 'failed' AS overall, 'failed' AS cut_status,
+      0::BIGINT AS cut_rows, 0 AS cut_written FROM lineitem""",
+)
+def etl_failed_file(spark, sf_dir):
+    """A compressed file cut at half its bytes is reported as failed and none of its rows is written."""
+    rows = table(spark, sf_dir, "lineitem")
+    source, target = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    write_table(rows.repartition(3, "l_orderkey"), source, "csv", compression="gzip")
+    store, place = locate(list_files(spark, source, "*.csv.gz")[0])
+    folder = place.rpartition("/")[0]
+    with store.open_input_file(place) as whole, store.open_output_stream(f"{folder}/zz-cut.csv.gz", compression=None) as cut:
+        cut.write(whole.read(whole.size() // 2))
+    report = run_etl(spark, source, target, rows.schema, infinity="max", pattern="*.csv.gz")
+    cut = F.col("source_file") == "zz-cut.csv.gz"
+    told = report.agg(
+        F.max(F.when(F.col("source_file").isNull(), F.col("status"))).alias("overall"),
+        F.max(F.when(cut, F.col("status"))).alias("cut_status"),
+        F.max(F.when(cut, F.col("original_rows"))).alias("cut_rows"),
+    )
+    written = spark.read.parquet(target).agg(
+        F.count(F.lit(1)).alias("rows_written"),
+        F.sum("l_quantity").alias("quantity"),
+        F.count_if(cut).cast("int").alias("cut_written"),
     )
+    return attach(written, settle(told), [])

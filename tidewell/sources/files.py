@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
@@ -19,23 +20,123 @@ SOURCE = "source_file"
 CSV_OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",
-    "nanValue": "NaN",
-    "positiveInf": "Infinity",
-    "negativeInf": "-Infinity",
+    "quote": '"',
+    "escape": '"',
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
 }
+MALFORMED = "_corrupt_record"
+UNPARSED_CELLS, MALFORMED_RECORDS = "unparsed_cells", "malformed_records"  # columns that ``audit`` adds
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+# Spellings in any case, then spellings of missing cells as written.
+INFINITE = ["inf", "+inf", "infinity", "+infinity"]
+NEGATIVE_INFINITE = ["-inf", "-infinity"]
+NOT_A_NUMBER = ["nan", "-nan"]
+MISSING = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
+_MISSING_NUMBER = sorted({m.lower() for m in MISSING} - set(NOT_A_NUMBER))
+
+
+def number(cell: Column) -> Column:
+    """Text of a floating cell as a double; NULL for a missing spelling and for what is no number."""
+    low = F.lower(F.trim(cell))
+    return (
+        F.when(low.isin(_MISSING_NUMBER), F.lit(None))
+        .when(low.isin(INFINITE), F.lit(float("inf")))
+        .when(low.isin(NEGATIVE_INFINITE), F.lit(float("-inf")))
+        .when(low.isin(NOT_A_NUMBER), F.lit(float("nan")))
+        .otherwise(low.try_cast("double"))
+    )
 
 
-def _reader(spark: SparkSession, schema: T.StructType | None, options: dict):
-    reader = spark.read.options(**{**CSV_OPTIONS, **options})
-    return reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+def _is_unparsed(cell: Column) -> Column:
+    """A cell with text that is neither a number nor a missing spelling."""
+    return cell.isNotNull() & ~F.lower(F.trim(cell)).isin(_MISSING_NUMBER) & number(cell).isNull()
+
 
+def _floating(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.FloatType, T.DoubleType))
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
-    """One CSV file or folder with a header.  Give a schema where you can: inference reads twice."""
+
+def _scan(
+    spark: SparkSession,
+    paths,
+    schema: T.StructType | None,
+    options: dict,
+    missing_text: bool,
+    audit: bool,
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """Floating columns come in as text, so that every spelling of infinity and missing is understood."""
+    reader = spark.read.options(**{**CSV_OPTIONS, **options})
+    if schema is None:
+        frame = reader.option("inferSchema", "true").csv(paths)
+        frame = frame.toDF(*names) if names else frame
+        texts = [f.name for f in frame.schema if isinstance(f.dataType, T.StringType)]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema])
+        if texts:  # a column of numbers with a spelling that inference does not know
+            odd = [F.count_if(_is_unparsed(ref(c))) for c in texts] + [F.count(number(ref(c))) for c in texts]
+            counts = frame.agg(*[c.alias(f"c{i}") for i, c in enumerate(odd)]).first()
+            for i, c in enumerate(texts):
+                if counts[i] == 0 and counts[len(texts) + i] > 0:
+                    schema[c].dataType = T.DoubleType()
+    else:
+        raw = [T.StructField(f.name, T.StringType() if _floating(f) else f.dataType) for f in schema]
+        marked = [T.StructField(MALFORMED, T.StringType())] if audit else []
+        reader = reader.schema(T.StructType([*raw, *marked])).option("columnNameOfCorruptRecord", MALFORMED)
+        frame = reader.csv(paths)
+    columns = []
+    for f in schema:
+        cell = ref(f.name)
+        if _floating(f) and isinstance(frame.schema[f.name].dataType, T.StringType):
+            cell = number(cell).cast(f.dataType)
+        elif missing_text and isinstance(f.dataType, T.StringType):
+            cell = F.when(~F.trim(cell).isin(MISSING), cell)
+        columns.append(cell.alias(f.name))
+    if audit:
+        bad = [_is_unparsed(ref(f.name)).cast("int") for f in schema if _floating(f) and isinstance(frame.schema[f.name].dataType, T.StringType)]
+        count = F.aggregate(F.array(*bad), F.lit(0), lambda n, x: n + x) if bad else F.lit(0)
+        broken = F.col(MALFORMED).isNotNull().cast("int") if MALFORMED in frame.columns else F.lit(0)
+        columns += [count.alias(UNPARSED_CELLS), broken.alias(MALFORMED_RECORDS)]
+    return frame.select(*columns, F.col("_metadata.file_path").alias("__path"))
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    missing_text: bool = True,
+    multi_line: bool = False,
+    **options,
+) -> DataFrame:
+    """One CSV file or folder with a header.  Give a schema where you can: inference reads twice.
+
+    Quotes inside quoted cells are doubled.  Quoted line breaks need ``multi_line``; such files are not split, so
+    one file is one task.  With ``missing_text`` the missing spellings are NULL in text columns too.
+    """
+    options = {"multiLine": str(multi_line).lower(), **options}
     try:
-        return _reader(spark, schema, options).csv(path)
+        return _scan(spark, path, schema, options, missing_text, False).drop("__path")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(path) from error
@@ -53,7 +154,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(found)
 
 
-def _locate(path: str):
+def locate(path: str):
     """``(file system, path in it)`` for a path as Spark lists it."""
     from urllib.parse import unquote
 
@@ -63,17 +164,24 @@ def _locate(path: str):
     return fs.FileSystem.from_uri(unquote(path) if local else path.replace("s3a://", "s3://", 1))
 
 
-def _header_of(path: str) -> list[str]:
-    """First line of one file, read in small pieces."""
-    store, place = _locate(path)
-    line = b""
-    with store.open_input_stream(place) as stream:
-        while b"\n" not in line:
-            piece = stream.read(1 << 16)
-            if not piece:
-                break
-            line += piece
-    return _fields(line.split(b"\n", 1)[0].decode("utf-8-sig"))
+def _header_of(path: str) -> tuple[list[str] | None, str | None]:
+    """``(first line, None)`` of one file, or ``(None, error)`` if it cannot be read to its end.
+
+    A plain file is opened and its first line read; a compressed one is drained, as only that shows a cut.
+    """
+    line, first = b"", True
+    try:
+        store, place = locate(path)
+        with store.open_input_stream(place) as stream:
+            while piece := stream.read(1 << 20 if not first else 1 << 16):
+                if first:
+                    line += piece
+                    first = b"\n" not in line
+                if not first and not path.endswith(COMPRESSED):
+                    break
+        return _fields(line.split(b"\n", 1)[0].decode("utf-8-sig")), None
+    except (OSError, pa.ArrowException, UnicodeDecodeError, EOFError) as error:
+        return None, f"{type(error).__name__}: {error}"[:500]
 
 
 def _fields(line: str) -> list[str]:
@@ -81,16 +189,16 @@ def _fields(line: str) -> list[str]:
 
 
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``path, header: array<string>`` per file.
+    """``path, header: array<string>, error`` per file; ``error`` is NULL for a readable file.
 
-    Each task opens its files and reads one line of each.  Where the storage is not one Arrow can
+    Each task opens its files and reads one line of each, compressed ones to their end.  Where the storage is not one Arrow can
     open, the lines come from a text scan instead, which reads the files whole.
     """
     paths = list_files(spark, folder, pattern)
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     try:
-        _locate(paths[0]) if paths else None
+        locate(paths[0]) if paths else None
     except (pa.ArrowException, OSError, ValueError):
         lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
             F.col("_metadata.file_path").alias("path"),
@@ -98,23 +206,29 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
             "value",
         )
         listed = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-        return listed.mapInArrow(_split_lines, "path string, header array<string>")
+        return listed.mapInArrow(_split_lines, "path string, header array<string>, error string")
 
     def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             files = batch.column(0).to_pylist()
+            found = [_header_of(p) for p in files]
             yield pa.RecordBatch.from_pydict(
-                {"path": files, "header": pa.array([_header_of(p) for p in files], pa.list_(pa.string()))}
+                {
+                    "path": files,
+                    "header": pa.array([h for h, _ in found], pa.list_(pa.string())),
+                    "error": pa.array([e for _, e in found], pa.string()),
+                }
             )
 
-    return listed.repartition(slots).mapInArrow(headers, "path string, header array<string>")
+    return listed.repartition(slots).mapInArrow(headers, "path string, header array<string>, error string")
 
 
 def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         split = [_fields(line) for line in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(split, pa.list_(pa.string()))], names=["path", "header"]
+            [batch.column(0), pa.array(split, pa.list_(pa.string())), pa.nulls(len(split), pa.string())],
+            names=["path", "header", "error"],
         )
 
 
@@ -122,12 +236,19 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def path_within(path: Column, folder: str) -> Column:
+    """The path below ``folder``: the bare name in a flat folder, unique in a nested one."""
+    place = re.escape(re.sub(r"^\w+:/*", "/", folder.rstrip("/")))
+    inner = F.regexp_replace(path, f"^(?:\\w+:)?/*{place.lstrip('/')}/+", "")
+    return F.when(inner == path, file_name(path)).otherwise(inner)
+
+
 def header_consistency(
     spark: SparkSession, folder: str, pattern: str = "*.csv", headers: DataFrame | None = None
 ) -> DataFrame:
     """``file, n_columns, missing_columns, extra_columns, consistent`` against the first file by path."""
     found = headers if headers is not None else csv_headers(spark, folder, pattern)
-    found = found.withColumn("file", file_name(F.col("path")))
+    found = found.filter("header is not null").withColumn("file", path_within(F.col("path"), folder))
     first = found.groupBy().agg(F.min_by("header", "path").alias("h")).first()
     expected = F.array(*[F.lit(c) for c in (first["h"] if first and first["h"] else [])]).cast("array<string>")
     compared = found.select(
@@ -146,9 +267,12 @@ def read_csv_folder(
     folder: str,
     schema: T.StructType | None = None,
     pattern: str = "*.csv",
-    skip_bad_files: bool = True,
+    skip_bad_files: bool = False,
     normalize: bool = False,
     headers: DataFrame | None = None,
+    missing_text: bool = True,
+    multi_line: bool = False,
+    audit: bool = False,
     **options,
 ) -> DataFrame:
     """All CSV files of a folder in one scan per header layout, with ``source_file``.
@@ -156,26 +280,33 @@ def read_csv_folder(
     Columns are matched by name: files are grouped by header (usually one group), each group
     is read with the types ``schema`` gives to its columns, and the groups are united by name
     with NULL for absent columns.  ``schema`` and the result use normalised names when
-    ``normalize`` is set.
+    ``normalize`` is set.  A file that cannot be read to its end is an error, or left out whole with
+    ``skip_bad_files``; it is never read in part.  ``audit`` adds per row the number of cells that are no number
+    and whether the record had the wrong number of fields.
     """
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in (headers if headers is not None else csv_headers(spark, folder, pattern)).collect():
-        layouts[tuple(row["header"])].append(row["path"])
+    found = headers if headers is not None else csv_headers(spark, folder, pattern)
+    bad = found.filter("error is not null")
+    some_bad = bad.orderBy("path").first()
+    if some_bad and not skip_bad_files:
+        raise OSError(f"{some_bad['path']}: {some_bad['error']}")
+    good = found.filter("error is null")
+    layouts = [tuple(r["header"]) for r in good.select("header").distinct().collect()]  # a row a layout
     if not layouts:
         raise FileNotFoundError(f"{folder}/{pattern}")
-    if skip_bad_files:
-        options = {"ignoreCorruptFiles": "true", **options}
+    files: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    if len(layouts) > 1 or some_bad:
+        for row in good.collect():
+            files[tuple(row["header"])].append(row["path"])
     wanted = {f.name: f.dataType for f in schema} if schema is not None else None
+    options = {"pathGlobFilter": pattern, "multiLine": str(multi_line).lower(), **options}
     parts = []
-    for header, paths in sorted(layouts.items()):
+    for header in sorted(layouts):
         names = normalized(header) if normalize else list(header)
         typed = None
         if wanted is not None:
             typed = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
-        whole = folder if len(layouts) == 1 else sorted(paths)
-        frame = _reader(spark, typed, {"pathGlobFilter": pattern, **options}).csv(whole)
-        plain = frame.toDF(*names) if typed is None else frame
-        parts.append(plain.withColumn(SOURCE, F.col("_metadata.file_name")))
+        part = _scan(spark, sorted(files[header]) or folder, typed, options, missing_text, audit, names)
+        parts.append(part.withColumn(SOURCE, path_within(F.col("__path"), folder)).drop("__path"))
     return union_files(parts)
 
 
@@ -210,18 +341,74 @@ def file_sizes(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return listed.select("path", F.col("length").alias("bytes"))
 
 
-def validate_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """``file, rows, valid`` per Parquet file; unreadable or empty files are invalid.
+def _relative(listed: DataFrame, folder: str) -> Column:
+    return path_within(F.col("path"), folder).alias("file")
+
+
+def parquet_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, rows`` per Parquet file from the footers alone: quick, but pages may be broken.
 
-    Counting rows of no column reads footers only; the stand-in schema keeps Spark from inferring
-    one off a file that may be broken.
+    The stand-in schema keeps Spark from inferring one off a file that may be broken.
     """
-    files = file_sizes(spark, folder, "*.parquet").select(file_name(F.col("path")).alias("file"))
+    files = file_sizes(spark, folder, "*.parquet").select(F.regexp_replace("path", "^file:/*", "/").alias("path"))
     reader = spark.read.schema("unread int").option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
     table = reader.option("pathGlobFilter", "*.parquet").parquet(folder)
-    counts = table.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-    joined = files.join(counts, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
-    return joined.withColumn("valid", F.col("rows") > 0)
+    at = F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/").alias("at")
+    counts = table.groupBy(at).agg(F.count(F.lit(1)).alias("rows"))
+    joined = files.join(counts, F.col("path") == F.col("at"), "left")
+    return joined.select(_relative(joined, folder), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per row group; one with group -1 for a file whose footer cannot be read."""
+    from pyarrow import parquet as pq
+
+    for batch in batches:
+        out: list[tuple[str, int]] = []
+        for path in batch.column(0).to_pylist():
+            try:
+                store, place = locate(path)
+                with store.open_input_file(place) as file:
+                    groups = pq.ParquetFile(file).num_row_groups
+                out += [(path, g) for g in range(groups)] or [(path, -1)]
+            except (OSError, pa.ArrowException):
+                out.append((path, -1))
+        paths, groups = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(groups, pa.int32())], names=["path", "g"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a row group after decoding every page of every column; NULL if that fails."""
+    from pyarrow import parquet as pq
+
+    for batch in batches:
+        counts: list[int | None] = []
+        for path, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            try:
+                store, place = locate(path)
+                with store.open_input_file(place) as file:
+                    table = pq.ParquetFile(file)
+                    rows = sum(b.num_rows for b in table.iter_batches(row_groups=[group])) if group >= 0 else 0
+                    counts.append(rows if group < 0 or rows == table.metadata.row_group(group).num_rows else None)
+            except (OSError, pa.ArrowException):
+                counts.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["path", "rows"])
+
+
+def validate_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, rows, valid`` per Parquet file, named by its path below ``folder``.
+
+    Every page of every column is decoded, one row group at a time, row groups spread over the tasks.  A file that
+    cannot be decoded, or has no row, is invalid; its ``rows`` are those of the row groups that could.
+    """
+    slots = spark.sparkContext.defaultParallelism * 4
+    listed = file_sizes(spark, folder, "*.parquet").select("path")
+    groups = listed.repartition(slots).mapInArrow(_footers, "path string, g int")
+    counted = groups.repartition(slots, "path", "g").mapInArrow(_decoded, "path string, rows long")
+    counted = counted.groupBy("path").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.every(F.col("rows").isNotNull()).alias("whole")
+    )
+    return counted.select(_relative(counted, folder), "rows", (F.col("whole") & (F.col("rows") > 0)).alias("valid"))
 
 
 def all_valid(validation: DataFrame) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions.cells import ref
-from tidewell.sources.files import SOURCE, file_sizes, read_csv_folder
+from tidewell.sources.files import SOURCE, file_sizes, path_within, read_csv_folder
 
 FORMATS = ("csv", "parquet")
 
@@ -30,7 +30,8 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("nanValue", "NaN")
+        writer = writer.option("header", "true").option("nanValue", "NaN").option("quote", '"').option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         (writer.option("compression", compression) if compression else writer).csv(path)
     else:
         writer.option("compression", compression or "snappy").parquet(path)
@@ -80,7 +81,7 @@ def csv_to_parquet(
 def conversion_report(spark: SparkSession, csv_folder: str, parquet_folder: str) -> DataFrame:
     """``source_file, rows, columns, csv_bytes, parquet_bytes, reduction_percent``; NULL file = total."""
     before = file_sizes(spark, csv_folder, "*.csv").select(
-        F.element_at(F.split("path", "/"), -1).alias(SOURCE), "bytes"
+        path_within(F.col("path"), csv_folder).alias(SOURCE), "bytes"
     )
     after = file_sizes(spark, parquet_folder, "*.parquet").select(
         F.regexp_extract("path", SOURCE + "=([^/]+)/", 1).alias(SOURCE), "bytes"
