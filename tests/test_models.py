@@ -151,8 +151,7 @@ def test_roc_points(spark, scored):
     for r in points:
         hit = scored[(scored["score"] * 10).astype(int).clip(upper=9) / 10 >= r["threshold"] - 1e-12]
         assert r["tp"] == hit["label"].sum() and r["fp"] == (1 - hit["label"]).sum()
-    with pytest.raises(ValueError):
-        roc_points(spark.createDataFrame(scored), bins=5000)
+    assert roc_points(spark.createDataFrame(scored), bins=5000).count() == (scored["score"] * 5000).astype(int).nunique()
 
 
 def test_confusion_and_class_metrics(spark):
@@ -232,3 +231,17 @@ def test_leaderboard(labelled):
     assert [r["model"] for r in board] == ["good", "bad"] and board[0]["auc"] > 0.99
     assert score_binary(models["good"], df).filter("score between 0 and 1").count() == 400
     assert model_importance(models["good"]).first()["importance"] == 1.0
+
+
+def test_balancing_names_the_column_with_gaps(spark):
+    df = spark.createDataFrame([(1.0, None, 0), (2.0, 1.0, 0), (3.0, 1.0, 1), (4.0, 2.0, 1), (5.0, 2.0, 1)], "a double, b double, y int")
+    with pytest.raises(ValueError, match="b"):
+        smote(df, ["a", "b"], "y")
+
+
+def test_scores_outside_the_expected_range_keep_their_place(spark):
+    df = spark.createDataFrame([(0, -0.5), (1, 0.5), (1, 1.0), (1, 7.25)], "label int, score double")
+    got = [(r.threshold, r.tp, r.fp) for r in evaluation.roc_points(df, bins=4).orderBy("threshold").collect()]
+    assert got == [(-0.5, 3, 1), (0.5, 3, 0), (0.75, 2, 0), (7.25, 1, 0)]
+    with pytest.raises(ValueError):
+        evaluation.roc_points(df, bins=0)

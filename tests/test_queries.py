@@ -5,15 +5,13 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import compare, connect
 
-SLOW = {"partitioned_layout"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, sf_dir, name):
     ok, note = compare(spark, con, sf_dir, name)
     assert ok, note

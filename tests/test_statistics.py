@@ -179,3 +179,30 @@ def test_type_check(spark):
     expected = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
     got = {r["column"]: (r["matches"], r["n_bad"]) for r in type_check(df, expected).collect()}
     assert got == {"a": (False, 1), "b": (True, 0)}
+
+
+def test_duplicates_stay_exact_when_all_hashes_clash(spark, monkeypatch):
+    from tidewell.operators import quality
+
+    rows = [("a", 1.0, "x"), ("a", 1.0, "x"), ("a", 2.0, None), ("b", float("nan"), "x"), ("b", float("nan"), "x"), ("b", 0.0, "y"), ("b", -0.0, "y"), (None, 1.0, "z")]
+    df = spark.createDataFrame(rows, "s string, v double, t string")
+    want = {"a": (3, 1, 1), "b": (4, 2, 2), None: (1, 0, 0)}
+    for clash in (False, True):
+        if clash:
+            monkeypatch.setattr(quality, "row_hashes", lambda df: (F.lit(1).cast("long"), F.lit(2).cast("long")))
+        got = {r.s: (r.total_rows, r.missing_values, r.duplicate_rows) for r in quality.checked_rows(df, ["s"]).collect()}
+        assert got == want
+        whole = quality.checked_rows(df.drop("s"), []).first()
+        assert (whole.total_rows, whole.duplicate_rows) == (8, 3)
+
+
+def test_profile_of_keys_with_nulls_and_no_rows(spark):
+    from tidewell.operators.profile import profile_cells
+
+    rows = [("a", 1, 1.0), (None, 1, float("inf")), (None, 1, None), ("a", 2, 3.0), ("a", 1, float("nan"))]
+    df = spark.createDataFrame(rows, "s string, k int, v double")
+    got = {(r.s, r.k, r.column): tuple(r)[3:] for r in profile_cells(df, ["s", "k"]).collect()}
+    assert got[("a", 1, "v")] == (2, 0, 1, 1.0, 1.0, 1.0)
+    assert got[(None, 1, "v")] == (2, 1, 1, None, None, None)
+    assert got[(None, 1, "*dirty")][2] == 2 and got[(None, 1, "*missing")][2] == 1
+    assert profile_cells(df.filter("k > 5"), ["s"]).count() == 0

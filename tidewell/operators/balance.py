@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.cells import ref
+from tidewell.functions.cells import missing, ref
 from tidewell.operators.grouping import attach
 from tidewell.operators.neighbors import nearest_vectors
 from tidewell.operators.running import running_totals
@@ -46,6 +46,9 @@ def smote(
     Equal rows are handled as one point with a multiplicity, so copies cost nothing.
     """
     known = df.filter(ref(label).isNotNull())
+    gaps = known.agg(*[F.count_if(missing(df, c)).alias(c) for c in features]).first()
+    if holed := [c for c in features if gaps[c]]:
+        raise ValueError(f"missing values in {holed}: fill or drop them first")
     counts = settle(known.groupBy(ref(label).alias("__class")).agg(F.count(F.lit(1)).alias("__size")))
     largest = counts.agg(F.max("__size")).first()[0]
     originals = df.select(*[ref(c).cast("double").alias(c) for c in features], ref(label), F.lit(False).alias("synthetic"))

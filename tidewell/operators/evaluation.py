@@ -10,7 +10,7 @@ from tidewell.functions.cells import ref
 from tidewell.operators.running import running_totals
 from tidewell.session import settle
 
-MAX_BINS = 1000
+DEFAULT_BINS = 1000
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -106,17 +106,18 @@ def binary_metrics(
 
 
 def roc_points(
-    df: DataFrame, label: str = "label", score: str = "score", bins: int = MAX_BINS, low: float = 0.0, high: float = 1.0
+    df: DataFrame, label: str = "label", score: str = "score", bins: int = DEFAULT_BINS, low: float = 0.0, high: float = 1.0
 ) -> DataFrame:
     """``threshold, tp, fp, tpr, fpr, precision`` at the lower edge of each occupied score bin.
 
-    Recall equals ``tpr``.  At most ``bins`` rows take part in the running sum.
+    Recall equals ``tpr``.  ``[low, high]`` is where scores are expected and sets the width of a bin; a score outside gets
+    a bin of the same width further out, and ``high`` itself belongs to the last bin inside.
     """
-    if not 0 < bins <= MAX_BINS:
-        raise ValueError(f"bins must be in 1..{MAX_BINS}")
+    if bins < 1 or not low < high:
+        raise ValueError("bins must be positive and low below high")
     place = F.floor((ref(score) - low) / (high - low) * bins)
     counts = (
-        df.groupBy(F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("bin"))
+        df.groupBy(F.when(ref(score) == high, F.lit(bins - 1)).otherwise(place).alias("bin"))
         .agg(F.sum(ref(label).cast("long")).alias("pos"), F.sum(1 - ref(label).cast("long")).alias("neg"))
     )
     down = W.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.cells import ref
 from tidewell.operators.ordering import BUCKET, BUCKET_ROWS, ROW, number_rows
-from tidewell.session import SETTLE_ROWS, settle_counted
+from tidewell.session import durable
+
+SMALL_ROWS = 200_000
 
 
 def running_totals(
@@ -18,18 +20,18 @@ def running_totals(
     values: Sequence[str],
     order_by: Sequence[Column | str],
     by: Sequence[str] = (),
-    small: int = SETTLE_ROWS,
+    small: int = SMALL_ROWS,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``<value>_before``: the sum of ``value`` over the group's earlier rows.
 
-    Up to ``small`` rows one window does it.  Beyond that rows are range-ordered once, summed
+    The rows are written once; none comes to the driver.  Up to ``small`` rows one window does it.  Beyond that rows are range-ordered once, summed
     inside buckets of bounded length, and each bucket gets the totals of the buckets before it;
     the per-group window then runs over one row per bucket.
     """
-    settled, n = settle_counted(df, small)
+    settled = durable(df, "running")
     group = F.struct(F.lit(0).alias("all"), *[ref(k) for k in by])
-    if n is not None:
+    if settled.count() <= small:  # counted from the footers
         over = W.partitionBy(group).orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
         return settled.withColumns({f"{v}_before": F.coalesce(F.sum(ref(v)).over(over), F.lit(0)) for v in values})
     numbered = number_rows(settled, [*[ref(k) for k in by], *order_by], bucket_rows).withColumn("__group", group)

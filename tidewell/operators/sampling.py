@@ -22,6 +22,8 @@ def sample_exact(df: DataFrame, n: int = DEFAULT_ROWS, key: Sequence[str] | None
     it lie outside, the range is widened, so the size is exact.  ``key`` should identify rows (by
     default all columns are hashed); only of rows that share the threshold hash are some left out.
     """
+    if n <= 0:
+        return df.limit(0)
     total = df.count()
     if total <= n:
         return df

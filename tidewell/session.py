@@ -8,8 +8,11 @@ lost executor re-reads files instead of re-running everything upstream.
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,15 +36,42 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf)
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    if not _one_machine(session):
+        ship_package(session)
+    return session
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package: functions in tasks are found by module name there."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    place = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), f"tidewell-{uuid.uuid4().hex}.zip")
+    with open(place, "wb") as file:  # on the driver, which serves it to the executors
+        file.write(packed.getvalue())
+    spark.sparkContext.addPyFile(place)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else one set for this run."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Only where everything runs on one machine is one made for the run; on a cluster a missing setting is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not _one_machine(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewell-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
