@@ -33,7 +33,7 @@ def texts():
 
 
 def make():
-    rows = [(i, t, "en", f"s{i % 2}", 1) for i, t in enumerate(texts())] + awkward_rows()[1:4]
+    rows = [(i, t, "en", f"s{i % 2}", 1) for i, t in enumerate(texts())] + [(50 + r[0], *r[1:]) for r in awkward_rows()[1:4]]
     return rows + [(100 + i, "shared token=copiedExample1234567", "en", f"o{i}", 1) for i in range(4)]
 
 
