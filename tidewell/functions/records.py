@@ -75,9 +75,16 @@ def key_report(df: DataFrame, key: Column) -> DataFrame:
     )
 
 
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def record_value(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """The row as a JSON object; NULL fields are kept."""
-    return F.to_json(F.struct(*[ref(c) for c in (columns or df.columns)]), {"ignoreNullFields": "false"})
+    """The row as a JSON object; NULL fields are kept, times to the microsecond."""
+    return F.to_json(F.struct(*[ref(c) for c in (columns or df.columns)]), JSON_OPTIONS)
 
 
 def keyed_records(

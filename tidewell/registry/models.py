@@ -1,16 +1,19 @@
 """Queries over sampling, weights, evaluation, feature selection and models.
 
-Models are fitted on the whole tables with fewer rounds or trees than the defaults.
+Models are fitted on the whole tables.  What a learner finds has no SQL form; the queries show what SQL can state about
+it: which rows were scored, that probabilities and importances add up, that quality is above a stated floor.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidewell.fixtures import dirty_lineitem, table
+from tidewell.fixtures import DIRTY_SQL, dirty_lineitem, table
 from tidewell.functions.splits import split_by_time
 from tidewell.operators.balance import class_weights, smote, with_class_weights
 from tidewell.operators.evaluation import binary_metrics, class_metrics, confusion_matrix, roc_points
+from tidewell.operators.grouping import attach
 from tidewell.operators.models import (
     leaderboard,
     load_model,
@@ -26,7 +29,7 @@ from tidewell.operators.neighbors import nearest_vectors
 from tidewell.operators.sampling import sample_exact
 from tidewell.plans.feature_selection import clean_split, feature_importance, select_features, write_reports
 from tidewell.registry.base import query
-from tidewell.session import scratch_path
+from tidewell.session import durable, scratch_path, settle
 
 FEATURES = ["value", "hour", "k", "user_load"]
 
@@ -180,80 +183,179 @@ def neighbors(spark, sf_dir):
     )
 
 
-@query("smote_embeddings")
+@query(
+    "smote_embeddings",
+    """WITH c AS (SELECT label, count(*) AS n, max(count(*)) OVER () AS most FROM embeddings GROUP BY label)
+    SELECT label, FALSE AS synthetic, n, TRUE AS inside FROM c
+    UNION ALL SELECT label, TRUE, most - n, TRUE FROM c WHERE n < most""",
+)
 def balanced_vectors(spark, sf_dir):
-    """All embedding classes raised to the largest, in 64 dimensions."""
+    """All embedding classes raised to the largest, in 64 dimensions, within the range of their class."""
     rows = table(spark, sf_dir, "embeddings")
     width = len(rows.first()["embedding"])
     features = [f"e{i}" for i in range(width)]
     wide = rows.select("label", *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(features)])
-    return smote(wide, features, "label").groupBy("label", "synthetic").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("e0"), 6).alias("mean_e0")
+    edges = wide.groupBy("label").agg(
+        F.array(*[F.min(f) for f in features]).alias("lo"), F.array(*[F.max(f) for f in features]).alias("hi")
+    )
+    made = smote(wide, features, "label").select("label", "synthetic", F.array(*features).alias("x")).join(edges, "label")
+    zipped = F.arrays_zip("x", "lo", "hi")
+    inside = F.forall(zipped, lambda z: (z["x"] >= z["lo"] - 1e-9) & (z["x"] <= z["hi"] + 1e-9))
+    return made.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.every(inside).alias("inside"))
+
+
+def ranking_checks(ranked):
+    """Whether ranks are 1..n in order of importance and importances add up to one."""
+    listed = F.array_sort(F.collect_list(F.struct("rank", "importance")))
+    checked = ranked.agg(listed.alias("l"), F.count(F.lit(1)).alias("n"), F.sum("importance").alias("total"))
+    falling = F.forall(
+        F.sequence(F.lit(1), F.greatest(F.size("l") - 1, F.lit(1))),
+        lambda i: F.coalesce(F.get("l", i - 1)["importance"] >= F.get("l", i)["importance"], F.lit(True)),
+    )
+    return checked.select(
+        "n",
+        (F.transform("l", lambda r: r["rank"].cast("int")) == F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ranked"),
+        falling.alias("falling"),
+        (F.abs(F.col("total") - 1) < 1e-6).alias("sums_to_one"),
     )
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT 4::BIGINT AS n, TRUE AS ranked, TRUE AS falling, TRUE AS sums_to_one FROM events HAVING count(*) > 0")
 def importance(spark, sf_dir):
-    return feature_importance(flows(spark, sf_dir), FEATURES, "y", key=["event_id"], numTrees=20, maxDepth=5)
+    """The ranking forest with its stated defaults."""
+    return ranking_checks(feature_importance(flows(spark, sf_dir), FEATURES, "y", key=["event_id"]))
 
 
-@query("select_features")
+@query(
+    "select_features",
+    f"""WITH {DIRTY_SQL}, clean AS (
+      SELECT l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM dirty
+      WHERE rate IS NOT NULL AND NOT isnan(rate) AND note IS NOT NULL),
+    low AS (SELECT var_pop(l_discount) <= 0.01 AS discount, var_pop(l_tax) <= 0.01 AS tax FROM clean)
+    SELECT * FROM (VALUES ('l_returnflag', 'not_numeric'), ('l_linestatus', 'not_numeric'), ('l_shipdate', 'not_numeric'),
+      ('note', 'not_numeric'), ('l_orderkey', 'configured'), ('twin', 'correlated'), ('flat', 'low_variance'))
+      AS t(feature, drop_reason)
+    UNION ALL SELECT 'l_discount', 'low_variance' FROM low WHERE discount
+    UNION ALL SELECT 'l_tax', 'low_variance' FROM low WHERE tax""",
+)
 def selection(spark, sf_dir):
-    """Dirty table, cleaned as one split, filtered and ranked; reports are written."""
+    """Dirty table, cleaned as one split, filtered and ranked with the stated defaults; reports are written."""
     train = clean_split(dirty_lineitem(spark, sf_dir).drop("source_file"))
-    chosen = select_features(train, "Label", drops=["l_orderkey"], rows=20_000, numTrees=10, maxDepth=5)
+    chosen = select_features(train, "Label", drops=["l_orderkey"])
     write_reports(chosen, scratch_path(spark, "selection"))
-    return chosen
+    fine = ranking_checks(chosen.filter("rank is not null")).first()
+    if not (fine["ranked"] and fine["falling"] and fine["sums_to_one"]):
+        raise ValueError(f"inconsistent ranking: {fine}")
+    return chosen.filter("drop_reason is not null").select("feature", "drop_reason")
+
+
+SPLIT_AT = "2024-01-25 00:00:00"
 
 
 def _split(spark, sf_dir):
-    return split_by_time(flows(spark, sf_dir), "ts", "2024-01-25 00:00:00")
+    return split_by_time(flows(spark, sf_dir), "ts", SPLIT_AT)
+
 
+LATER_SQL = f"SELECT * FROM events WHERE ts >= TIMESTAMP '{SPLIT_AT}'"
 
-@query("train_binary")
+
+@query(
+    "train_binary",
+    f"""SELECT count(*) AS n, TRUE AS sound, TRUE AS good, TRUE AS recomputed FROM ({LATER_SQL})""",
+)
 def binary(spark, sf_dir):
-    """Weighted boosted trees on the earlier events, metrics on the later ones."""
+    """Weighted boosted trees with their stated defaults on the earlier events, metrics on the later ones."""
     train, test = _split(spark, sf_dir)
-    model = train_binary(with_class_weights(train, "y"), FEATURES, "y", "weight", maxIter=5, maxDepth=4)
-    return binary_metrics(score_binary(model, test).withColumnRenamed("y", "label"))
+    model = train_binary(with_class_weights(train, "y"), FEATURES, "y", "weight")
+    scored = durable(score_binary(model, test).withColumnRenamed("y", "label"), "scored")
+    found = settle(binary_metrics(scored))
+    again = scored.agg(
+        F.count_if((F.col("score") >= 0.5) == (F.col("label") == 1)).alias("hits"),
+        F.every(F.col("score").between(0, 1)).alias("sound"),
+    )
+    return attach(found, settle(again), []).select(
+        "n",
+        "sound",
+        (F.col("auc") > 0.95).alias("good"),
+        (F.abs(F.col("accuracy") - F.col("hits") / F.col("n")) < 1e-9).alias("recomputed"),
+    )
+
+
+CLASSES_SQL = f"""SELECT CAST(l.label AS INT) AS class, count(*) AS support, TRUE AS sound FROM ({LATER_SQL}) e
+  JOIN (SELECT event_type, dense_rank() OVER (ORDER BY event_type) - 1 AS label FROM (SELECT DISTINCT event_type FROM events)) l
+  USING (event_type) GROUP BY 1"""
+
+
+def _class_rows(model, test):
+    scored = model.transform(test).withColumn("p", vector_to_array("probability"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
+    fine = F.forall("p", lambda x: x.between(0, 1)) & (F.abs(total - 1) < 1e-6)
+    per_class = class_metrics(scored, "label_id", "prediction").select(F.col("class").cast("int").alias("class"), "support")
+    flags = scored.groupBy(F.col("label_id").cast("int").alias("class")).agg(F.every(fine).alias("sound"))
+    return per_class.filter("support > 0").join(flags, "class")
 
 
-@query("train_multiclass")
+@query("train_multiclass", CLASSES_SQL)
 def multiclass(spark, sf_dir):
-    """Five event types with a forest; metrics per class on the later events."""
+    """Five event types with a forest with its stated defaults; support per class on the later events."""
     train, test = _split(spark, sf_dir)
-    model = train_multiclass(train, FEATURES, "event_type", numTrees=10, maxDepth=5)
-    return class_metrics(model.transform(test), "label_id", "prediction")
+    return _class_rows(train_multiclass(train, FEATURES, "event_type"), test)
 
 
-@query("train_one_vs_rest")
+@query("train_one_vs_rest", CLASSES_SQL.replace(", TRUE AS sound", ""))
 def one_vs_rest(spark, sf_dir):
+    """One boosted model per class, fewer rounds than the default: fitting grows with classes times rounds."""
     train, test = _split(spark, sf_dir)
     model = train_multiclass(train, FEATURES, "event_type", "boosted", maxIter=2, maxDepth=3)
-    return class_metrics(model.transform(test), "label_id", "prediction")
+    found = class_metrics(model.transform(test), "label_id", "prediction").filter("support > 0")
+    return found.select(F.col("class").cast("int").alias("class"), "support")
 
 
-@query("leaderboard")
+@query(
+    "leaderboard",
+    f"""SELECT unnest(['boosted', 'forest_deep', 'forest_shallow']) AS model, (SELECT count(*) FROM ({LATER_SQL})) AS n,
+      TRUE AS good, TRUE AS in_order""",
+)
 def board(spark, sf_dir):
+    """Three models on the later events, best first."""
     train, test = _split(spark, sf_dir)
     models = {
         "forest_shallow": train_forest(train, FEATURES, "y", numTrees=10, maxDepth=3),
         "forest_deep": train_forest(train, FEATURES, "y", numTrees=10, maxDepth=6),
         "boosted": train_binary(train, FEATURES, "y", maxIter=3, maxDepth=3),
     }
-    return leaderboard(models, test, "y")
+    found = leaderboard(models, test, "y")
+    scores = [r["auc"] for r in found.collect()]  # a row a model
+    ordered = scores == sorted(scores, reverse=True)
+    return found.select("model", "n", (F.col("auc") > 0.9).alias("good"), F.lit(ordered).alias("in_order"))
 
 
-@query("model_importance")
+@query("model_importance", "SELECT unnest(['hour', 'k', 'user_load', 'value']) AS feature, TRUE AS scaled_to_one FROM (SELECT 1 FROM events LIMIT 1)")
 def variable_importance(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
-    return model_importance(train_binary(train, FEATURES, "y", maxIter=3, maxDepth=3))
+    found = model_importance(train_binary(train, FEATURES, "y", maxIter=3, maxDepth=3))
+    fine = settle(found.agg((F.abs(F.max("scaled") - 1) < 1e-12).alias("scaled_to_one")))
+    return attach(found.select("feature"), fine, [])
 
 
-@query("scored_export")
+@query(
+    "scored_export",
+    f"""SELECT CASE WHEN value > 20 OR event_type = 'error' THEN 1 ELSE 0 END AS y, count(*) AS n, TRUE AS sound,
+      TRUE AS like_unsaved FROM ({LATER_SQL}) GROUP BY 1""",
+)
 def export(spark, sf_dir):
-    """A stored model, loaded again, scores the later events."""
+    """A stored model, loaded again, scores the later events as it did before it was stored."""
     train, test = _split(spark, sf_dir)
     path = scratch_path(spark, "model")
-    save_model(train_forest(train, FEATURES, "y", numTrees=5, maxDepth=4), path)
-    return scored_export(load_model(path), test, "y", top_features=3)
+    model = train_forest(train, FEATURES, "y", numTrees=5, maxDepth=4)
+    save_model(model, path)
+    loaded = load_model(path)
+    before = score_binary(model, test).agg(F.sum("score").alias("s")).first()["s"]
+    after = score_binary(loaded, test).agg(F.sum("score").alias("s")).first()["s"]
+    rows = scored_export(loaded, test, "y", top_features=3)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    return rows.groupBy("y").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.every(F.abs(total - 1) < 1e-9).alias("sound"),
+        F.lit(abs(before - after) < 1e-6).alias("like_unsaved"),
+    )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell.fixtures import table
-from tidewell.operators.models import train_forest
+from tidewell.functions.records import CORRUPT, parse_records
+from tidewell.operators.models import score_binary, train_forest
 from tidewell.registry.base import query
 from tidewell.registry.models import FEATURES, flows
+from tidewell.registry.projections import KEYED_SQL
 from tidewell.session import scratch_path
 from tidewell.streaming.ingest import (
     file_stream,
@@ -86,40 +87,37 @@ def stream_windows(spark, sf_dir):
     return naive(latest_updates(spark, path, ["user_id", "window_start", "window_end"]))
 
 
-@query(
-    "stream_unique_destinations",
-    f"""SELECT * FROM ({DISTINCT_SQL})
-    WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
-)
+@query("stream_unique_destinations", DISTINCT_SQL)
 def stream_destinations(spark, sf_dir):
-    """Chained streaming aggregates in append mode: every window the watermark has passed."""
-    schema = table(spark, sf_dir, "events").schema
-    events = targets(file_stream(spark, event_pattern(sf_dir), schema))
-    stream = unique_destinations(events, "user_id", "k", "ts", "1 day", "1 hour")
-    path = scratch_path(spark, "closed")
-    write_stream(stream, path, scratch_path(spark, "mark"), available_now=True).awaitTermination()
-    return naive(spark.read.schema(stream.schema).parquet(path))
-
-
-RECORD_SQL = """'{"user_id":' || user_id || ',"event_id":' || event_id || ',"event_type":"' || event_type || '"}'"""
+    """Chained streaming aggregates in append mode; a late closing record lets the watermark pass every window."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events")
+    latest = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("ts"))
+    given = {"ts": F.col("ts"), "props": F.lit('{"k": 0}'), "user_id": F.lit(-1)}  # its own window stays open
+    closing = latest.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+    events.unionByName(closing).write.parquet(path)
+    stream = unique_destinations(
+        targets(file_stream(spark, path, events.schema, max_files=1000)), "user_id", "k", "ts", "1 day", "1 hour"
+    )
+    out = scratch_path(spark, "closed")
+    write_stream(stream, out, scratch_path(spark, "mark"), available_now=True).awaitTermination()
+    return naive(spark.read.schema(stream.schema).parquet(out))
 
 
-@query("file_replay", f"SELECT user_id::VARCHAR AS key, {RECORD_SQL} AS value FROM events WHERE user_id <> 0 UNION ALL SELECT 'unknown', {RECORD_SQL} FROM events WHERE user_id = 0")
+@query("file_replay", KEYED_SQL)
 def replayed(spark, sf_dir):
-    """Files replayed as keyed JSON records into a sink."""
-    schema = T.StructType(
-        [T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())]
-    )
+    """Files replayed as keyed JSON records of all columns into a sink, shown by reading the records back."""
+    schema = table(spark, sf_dir, "events").schema
     stream = replay(spark, event_pattern(sf_dir), schema, field="user_id", fallbacks=())
     path = scratch_path(spark, "replay")
     write_stream(stream, path, scratch_path(spark, "mark"), available_now=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return parse_records(spark.read.schema(stream.schema).parquet(path), schema, keep=["key"]).drop(CORRUPT)
 
 
-@query("stream_ingest", "SELECT event_id, user_id, event_type, value FROM events")
+@query("stream_ingest", "SELECT * FROM events")
 def ingested(spark, sf_dir):
     """JSON records from a stream, parsed and appended to Parquet."""
-    schema = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value").schema
+    schema = table(spark, sf_dir, "events").schema
     records = replay(spark, event_pattern(sf_dir), schema, field="user_id", fallbacks=())
     parsed = parse_stream(records, schema)
     path = scratch_path(spark, "ingest")
@@ -127,14 +125,24 @@ def ingested(spark, sf_dir):
     return spark.read.schema(parsed.schema).parquet(path)
 
 
-@query("stream_scoring")
+@query(
+    "stream_scoring",
+    """SELECT count(*) AS scored, CAST(sum(event_id) AS BIGINT) AS ids, TRUE AS same_as_batch, TRUE AS probabilities FROM events""",
+)
 def scoring(spark, sf_dir):
-    """A forest fitted on the table scores the same events as a stream; alerts are appended."""
+    """A forest fitted on the table scores the same events as a stream, like it scores them as a table."""
     known = flows(spark, sf_dir)
     model = train_forest(known, FEATURES, "y", numTrees=5, maxDepth=4)
     path = scratch_path(spark, "flows")
     known.write.parquet(path)
-    found = alerts(score_stream(model, file_stream(spark, path, known.schema, max_files=100)))
+    found = alerts(score_stream(model, file_stream(spark, path, known.schema, max_files=100)), threshold=0.0)
     out = scratch_path(spark, "alerts")
     write_stream(found, out, scratch_path(spark, "mark"), available_now=True).awaitTermination()
-    return spark.read.schema(found.schema).parquet(out).select("event_id", "score", "prediction")
+    streamed = spark.read.schema(found.schema).parquet(out).select("event_id", "score")
+    batch = score_binary(model, known).select("event_id", F.col("score").alias("again"))
+    return streamed.join(batch, "event_id").agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.sum("event_id").alias("ids"),
+        F.every(F.abs(F.col("score") - F.col("again")) < 1e-9).alias("same_as_batch"),
+        F.every(F.col("score").between(0, 1)).alias("probabilities"),
+    )
