@@ -123,7 +123,12 @@ def test_forward_fill_equals_pandas(spark, bucket):
             s = None if rng.random() < 0.5 or i < 2 else f"s{i}"
             rows.append((group, i, NAN if x is None and i % 2 else x, s))
     df = frame(spark, rows, "f string, i int, x double, s string").repartition(4)
-    got = forward_fill(df, ["f"], ["i"], bucket_rows=bucket).toPandas()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", bucket)
+    try:
+        got = forward_fill(df, ["f"], ["i"]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     got = got.sort_values(["f", "i"], na_position="last").reset_index(drop=True)
     want = pd.DataFrame(rows, columns=["f", "i", "x", "s"]).sort_values(["f", "i"], na_position="last").reset_index(drop=True)
     want[["x", "s"]] = want.groupby("f", dropna=False)[["x", "s"]].ffill()
