@@ -33,7 +33,7 @@ SAMPLE = 3_000
 SAMPLE_QUERIES = 200
 TARGET = 0.97
 CELL_ROWS = 4_096
-ROWS_PER_CELL = 512  # aimed at by the number of projections
+ROWS_PER_CELL = 2_048  # aimed at by the number of projections
 MAX_PROBES = 4_096
 WIDTHS = (1.0, 1.5, 2.0, 3.0, 4.0)  # of the median neighbour distance
 SCAN = -1  # table number of the exact comparison
