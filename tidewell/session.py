@@ -37,8 +37,7 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     session = builder.getOrCreate()
-    if not _one_machine(session):
-        ship_package(session)
+    ship_package(session)
     return session
 
 
@@ -46,8 +45,14 @@ def _one_machine(spark: SparkSession) -> bool:
     return spark.sparkContext.master.split("[")[0] == "local"
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package: functions in tasks are found by module name there."""
+    """Give executors this package, once per application: functions in tasks are found by module name there."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w") as archive:
