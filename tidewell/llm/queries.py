@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import ann, bpe, chat, decontaminate, langid, lines, quality, secrets, simhash, substrings
 from tidewell.llm.common import table
+from tidewell.session import ship_package
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +18,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
