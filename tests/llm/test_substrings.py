@@ -27,6 +27,11 @@ def slow(rows, size):
     return sorted(out, key=repr)
 
 
+def test_unique_ids_without_text_hashes(spark):
+    rows = [r for r in awkward_rows() if r[0] != 11]
+    assert sorted_rows(substrings.report(documents(spark, rows))) == slow(rows, 20)
+
+
 def test_query_against_a_set_of_windows(spark):
     assert same_with_clashes(spark, substrings.report) == slow(awkward_rows(), 20)
 
@@ -55,3 +60,13 @@ def test_rolling_hash_is_a_polynomial():
 def test_packed_starts_survive_long_gaps():
     gaps = np.array([0, 5, 70_000, 65_535, 65_534, 3])
     assert substrings._long(substrings._short(gaps), len(gaps)).tolist() == gaps.tolist()
+
+
+def test_packed_keys():
+    for ids in ([5], [5, 6, 70_000, 1 << 33], [-(1 << 63), 0, 1 << 40], [3, 3]):
+        keys = np.array([[i, 0] for i in ids])
+        assert substrings._long_keys(substrings._short_keys(keys), len(keys)).tolist() == keys.tolist()
+    keys = np.array([[1, 9], [1, 12]])
+    assert substrings._long_keys(substrings._short_keys(keys), 2).tolist() == keys.tolist()
+    sizes = np.array([1, 65_535, 70_000])
+    assert substrings._long(substrings._short(sizes)).tolist() == sizes.tolist()

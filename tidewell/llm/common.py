@@ -7,6 +7,8 @@ get the same decision.  A null text is an empty one.
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,6 +47,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_key().alias("text_key"), F.struct("*").alias("row"))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now; it does so once their plans are collected.
+
+    Listeners hold a plan for a moment after its job, so there are two rounds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
 ) -> DataFrame:

@@ -7,8 +7,8 @@ buckets by hash; a bucket's share of a batch travels as one packed row, in the o
 bits of position per window.  A bucket finds the hashes that several batches sent and returns every window but the earliest.
 Copies meet per document, merge into maximal intervals, and the words inside are cut from the text.
 
-The kept hash bits grow with twice the logarithm of the number of windows, so that any two different windows of the whole
-corpus agree with a probability below 2^-20.
+The bits that tell windows apart (those of the bucket and those kept) grow with twice the logarithm of the number of
+windows, so that any two different windows of the whole corpus agree with a probability below 2^-20.
 
 Earlier means a smaller ``(doc_id, text hash)``, or an earlier start in the same document; a document listed twice is one
 document.  Null and empty texts have no words; texts with fewer words than a window lose none.
@@ -25,11 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import ids_and_texts, map_batches, text_key
+from tidewell.llm.common import ids_and_texts, map_batches, release_shuffles, text_key
 from tidewell.session import durable
 
 WINDOW = 20
-BATCH_WORDS = 1_000_000
+BATCH_WORDS = 600_000
 BUCKET_WINDOWS = 1_000_000
 MIN_BUCKETS = 256
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -74,9 +74,10 @@ def window_hashes(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
     return found[0], found[1]
 
 
-def hash_bytes(windows: int) -> int:
-    """Bytes of hash kept per window."""
-    return min(16, max(8, math.ceil((2 * math.log2(max(2, windows)) + 20) / 8)))
+def hash_bytes(windows: int, buckets: int) -> int:
+    """Bytes of hash kept per window, besides the bits its bucket shows."""
+    bits = 2 * math.log2(max(2, windows)) + 20 - math.floor(math.log2(buckets))
+    return min(16, max(8, math.ceil(bits / 8)))
 
 
 def spans_of(starts: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -94,6 +95,8 @@ PART_SCHEMA = "bucket long, ids binary, counts binary, hashes binary, starts bin
 
 def _parts(keys: list[tuple[int, int]], texts: list[list[bytes]], size: int, buckets: int, width: int):
     """One packed row per bucket for a batch of documents; known later copies go along without their hash."""
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    keys, texts = [keys[i] for i in order], [texts[i] for i in order]
     counts = np.array([len(w) for w in texts])
     words = np.fromiter((xxhash.xxh3_64_intdigest(w) for ws in texts for w in ws), np.uint64, int(counts.sum()))
     if len(words) < size:
@@ -105,14 +108,8 @@ def _parts(keys: list[tuple[int, int]], texts: list[list[bytes]], size: int, buc
     inside = doc[:n] == doc[size - 1 :]
     one, two = (h[inside] for h in window_hashes(words, size))
     doc, start = doc[:n][inside], start[:n][inside]
-    # the earliest window of each hash within the batch; documents may come in any order
-    rank = np.empty(len(keys), np.int64)
-    order = sorted(range(len(keys)), key=keys.__getitem__)
-    place = -1
-    for k, i in enumerate(order):  # equal keys are one document
-        if k == 0 or keys[i] != keys[order[k - 1]]:
-            place += 1
-        rank[i] = place
+    # documents are sorted by key; equal keys are one document
+    rank = np.cumsum([k > 0 and keys[k] != keys[k - 1] for k in range(len(keys))])
     by = np.lexsort((start, rank[doc], two, one))
     fresh = np.ones(len(by), bool)
     fresh[1:] = (one[by[1:]] != one[by[:-1]]) | (two[by[1:]] != two[by[:-1]])
@@ -132,7 +129,7 @@ def _parts(keys: list[tuple[int, int]], texts: list[list[bytes]], size: int, buc
             raw = np.ascontiguousarray(both[:, :width]).tobytes()
         gaps = np.diff(start[at], prepend=0)
         gaps[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = start[at][np.concatenate([[0], np.cumsum(sizes)[:-1]])]
-        return bucket, ids[docs].tobytes(), sizes.astype("<u4").tobytes(), raw, _short(gaps)
+        return bucket, _short_keys(ids[docs]), _short(sizes), raw, _short(gaps)
 
     for at in np.array_split(np.flatnonzero(copy), max(1, int(copy.sum()) // 100_000)):
         if len(at):
@@ -156,9 +153,25 @@ def _short(gaps: np.ndarray) -> bytes:
     return np.array(out, "<u2").tobytes()
 
 
-def _long(raw: bytes, n: int) -> np.ndarray:
+def _short_keys(keys: np.ndarray) -> bytes:
+    """Ascending document keys: gaps of the ids where these are small and alone tell documents apart."""
+    gaps = np.diff(keys[:, 0])
+    if keys[:, 1].any() or (len(gaps) and (gaps.min() < 0 or gaps.max() >= 1 << 32)):
+        return b"w" + keys.tobytes()
+    return b"g" + keys[:1, 0].tobytes() + _short(gaps)
+
+
+def _long_keys(raw: bytes, n: int) -> np.ndarray:
+    if raw[:1] == b"w":
+        return np.frombuffer(raw[1:], np.int64).reshape(-1, 2)
+    first = np.frombuffer(raw[1:9], np.int64)
+    ids = np.concatenate([first, first + np.cumsum(_long(raw[9:], n - 1))])
+    return np.stack([ids, np.zeros_like(ids)], 1)
+
+
+def _long(raw: bytes, n: int | None = None) -> np.ndarray:
     gaps = np.frombuffer(raw, "<u2").astype(np.int64)
-    if len(gaps) == n:
+    if len(gaps) == n or not (gaps == 65535).any():
         return gaps
     out, i, values = [], 0, gaps.tolist()
     while i < len(values):
@@ -173,13 +186,13 @@ def _long(raw: bytes, n: int) -> np.ndarray:
 
 def _unpacked(ids: bytes, counts: bytes, starts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document keys (two columns) and start of every window of a packed row."""
-    sizes = np.frombuffer(counts, "<u4").astype(np.int64)
+    sizes = _long(counts)
     total = int(sizes.sum())
     gaps = _long(starts, total)
     summed = np.cumsum(gaps)
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     base = summed[begin] - gaps[begin]
-    keys = np.frombuffer(ids, np.int64).reshape(-1, 2)
+    keys = _long_keys(ids, len(sizes))
     return np.repeat(keys, sizes, axis=0), summed - np.repeat(base, sizes), sizes
 
 
@@ -233,13 +246,13 @@ def _copies(size: int, width: int):
 def later_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, text_key, starts``: the windows of each document that also start earlier, sorted.
 
-    ``doc_id`` must be a long; a null one sorts first.
+    ``docs``: ``doc_id, text_key, text`` as ``_keyed`` gives them.
     """
-    source = _keyed(docs)
+    source = docs
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
-    windows = max(1, int(chars) // 3)
+    windows = max(1, int(chars) // 4)
     buckets = max(MIN_BUCKETS, -(-windows // BUCKET_WINDOWS))
-    width = hash_bytes(windows)
+    width = hash_bytes(windows, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
@@ -277,15 +290,22 @@ NULL_ID = -(1 << 63)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return ids_and_texts(docs).select(
+    """``doc_id, text_key, text``; the text hash is 0 throughout where ``doc_id`` alone is unique."""
+    rows = ids_and_texts(docs).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_key().alias("text_key"), "text"
     )
+    ids = rows.groupBy("doc_id").count()
+    if ids.filter("count > 1").isEmpty():
+        return rows.withColumn("text_key", F.lit(0).cast("long"))
+    return rows
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row; ``kept``: the words that stay, joined by one space."""
+    docs = _keyed(docs)
     gone = durable(later_windows(docs, size), "windows")  # small: only repeated windows
-    rows = _keyed(docs).join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
+    release_shuffles(docs.sparkSession)  # the windows' shuffle need not lie beside that of the texts
+    rows = docs.join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
 
     def make():
         def step(batch):
