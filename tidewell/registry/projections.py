@@ -11,7 +11,6 @@ from tidewell.functions.names import feature_target, identity_split, normalize_n
 from tidewell.functions.records import (
     CORRUPT,
     key_report,
-    key_slot,
     keyed_records,
     parse_records,
     partition_key,
