@@ -181,7 +181,11 @@ def keep_one(docs: DataFrame, k: int = WORDS_PER_SHINGLE, max_bits: int = MAX_BI
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     least = prints.groupBy("fp").agg(first.alias("one")).join(roots, "fp")
     chosen = least.groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.text_key")
-    chosen = durable(chosen, "kept")
+    return listed_once(docs, prints, durable(chosen, "kept"))
+
+
+def listed_once(docs: DataFrame, prints: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` names by ``doc_id, text_key``, each once; ``prints`` has a row per row."""
     own = packed(docs)
     same = own["doc_id"].eqNullSafe(chosen["doc_id"]) & (own["text_key"] == chosen["text_key"])
     kept = own.join(chosen, same, "left_semi")
