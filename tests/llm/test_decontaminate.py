@@ -78,3 +78,13 @@ def test_removal(spark):
     assert texts[4] is None and texts[6] == planted()[5][1]
     assert decontaminate.report(left, benchmark(spark)).filter("contaminated").count() == 0
     assert texts[1].startswith(prose(60, 40)) and texts[1].endswith(prose(61, 5))
+
+
+def test_slices_give_every_row_of_repeated_and_null_ids(spark, monkeypatch):
+    rows = planted()
+    rows += [(1, prose(51, 12), "en", "a", 1), (3, prose(51, 12), "en", "b", 1), (6, "other text", "en", "a", 1)]
+    rows += [(None, t, "en", "a", 1) for t in (prose(50, 30), prose(52, 15) + " end", prose(80, 20), None, prose(50, 30))]
+    whole = sorted_rows(decontaminate.report(documents(spark, rows), benchmark(spark)))
+    assert len(whole) == len(rows)
+    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 150)
+    assert sorted_rows(decontaminate.report(documents(spark, rows), benchmark(spark))) == whole

@@ -2,8 +2,8 @@
 
 The windows of the benchmark form a hash set that is broadcast.  Its size is proven first: the
 benchmark is measured by an aggregate, and one larger than ``SLICE_CHARS`` characters is worked off in
-slices of its items, each slice a scan of its own; the hits of all slices are then united.  A scan is
-narrow.  Document words are mapped to the slice's word numbers (0: a word no item has), windows of
+slices of its items, each slice a scan of its own whose hits are written before the next slice's set is
+built; the hits of all slices are then united per ``(doc_id, text_key)``.  A scan is narrow.  Document words are mapped to the slice's word numbers (0: a word no item has), windows of
 numbers are looked up by a rolling hash, and every hash hit is verified on the numbers themselves.
 
 Null and empty texts have no words: such documents have no hits and such items no windows.  Items
@@ -12,12 +12,15 @@ without an ``item_id`` mark words but are not counted.  Every document row gives
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import ids_and_texts, map_batches
+from tidewell.llm.common import ids_and_texts, map_batches, text_key
 from tidewell.session import durable
 
 WINDOW = 10
@@ -96,15 +99,15 @@ class WindowSet:
         return len(ids), np.cumsum(marks)[:-1] > 0, items
 
 
-def _slices(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[str | None, str]]]:
+def _slices(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[int, Iterator[list]]:
+    """Number of slices, and the items of each."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).distinct()
     total = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
     count = max(1, -(-int(total) // SLICE_CHARS))
     at = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    for k in range(count):
-        yield [tuple(r) for r in items.filter(at == k).collect()]
+    return count, ([tuple(r) for r in items.filter(at == k).collect()] for k in range(count))
 
 
 def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
@@ -112,25 +115,31 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-HIT_SCHEMA = "doc_id {id}, n_words long, spans array<struct<a:int,b:int>>, items array<string>"
+HIT_SCHEMA = "doc_id {id}, text_key long, n_words long, spans array<struct<a:int,b:int>>, items array<string>"
 
 
 def contaminated_spans(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id"
 ) -> DataFrame:
-    """Per document: its number of words, the word spans inside benchmark windows, the items found."""
-    source = ids_and_texts(docs)
-    schema = HIT_SCHEMA.format(id=source.schema["doc_id"].dataType.simpleString())
-    parts = []
-    for items in _slices(benchmark, item_col, "text"):
-        parts.append(_scan(source, items, window, schema))
-        if len(parts) > 1:  # one slice's set at a time stays in memory
-            parts = [durable(parts[0], "hits"), durable(parts[1], "hits")]
-            parts = [_united(parts[0].unionByName(parts[1]))]
-    return parts[0]
+    """Per document row: its number of words, the word spans inside benchmark windows, the items found."""
+    source = ids_and_texts(docs).select("doc_id", text_key().alias("text_key"), "text")
+    count, slices = _slices(benchmark, item_col, "text")
+    if count == 1:
+        return _scan(source, next(slices), window)[0].drop("text_key")
+    hits = _hits(source, slices, window)
+    none = [F.array().cast(hits.schema[name].dataType) for name in ("spans", "items")]
+    rows = _scan(source, [], window)[0].select("doc_id", "text_key", "n_words").alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.text_key") == F.col("h.text_key"))
+    return rows.join(hits.alias("h"), same, "left").select(
+        "d.doc_id",
+        "d.n_words",
+        F.coalesce("h.spans", none[0]).alias("spans"),
+        F.coalesce("h.items", none[1]).alias("items"),
+    )
 
 
-def _scan(source: DataFrame, items: list, window: int, schema: str) -> DataFrame:
+def _scan(source: DataFrame, items: list, window: int) -> tuple[DataFrame, Broadcast]:
+    """The hits of some items in every row of ``doc_id, text_key, text``, and the broadcast they are read from."""
     known = source.sparkSession.sparkContext.broadcast(WindowSet(items, window))
     struct = pa.struct([("a", pa.int32()), ("b", pa.int32())])
 
@@ -139,7 +148,7 @@ def _scan(source: DataFrame, items: list, window: int, schema: str) -> DataFrame
 
         def step(batch):
             counts, spans, found = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 n, marks, names = windows.hits(text)
                 counts.append(n)
                 spans.append([{"a": a, "b": b} for a, b in _runs(marks)] if names or marks.any() else [])
@@ -147,24 +156,38 @@ def _scan(source: DataFrame, items: list, window: int, schema: str) -> DataFrame
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(spans, pa.list_(struct)),
                     pa.array(found, pa.list_(pa.string())),
                 ],
-                names=["doc_id", "n_words", "spans", "items"],
+                names=["doc_id", "text_key", "n_words", "spans", "items"],
             )
 
         return step
 
-    return map_batches(source, make, schema)
+    schema = HIT_SCHEMA.format(id=source.schema["doc_id"].dataType.simpleString())
+    return map_batches(source, make, schema), known
 
 
-def _united(hits: DataFrame) -> DataFrame:
-    """Union of the spans and items that several slices found in a document."""
-    return hits.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+def _hits(source: DataFrame, slices: Iterator[list], window: int) -> DataFrame:
+    """``doc_id, text_key, spans, items`` of the documents that any slice hits, spans sorted by start.
+
+    A slice's hits are written, then its set is let go: one set at a time is in memory.
+    """
+    parts = None
+    for items in slices:
+        found, known = _scan(source, items, window)
+        part = durable(found.filter(F.size("spans") > 0).drop("n_words"), "hits")
+        known.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    # rows equal in id and text have equal hits, so one of them stands for all
+    parts = parts.groupBy("doc_id", "text_key").agg(F.collect_set("spans").alias("s"), F.collect_set("items").alias("i"))
+    return parts.select(
+        "doc_id",
+        "text_key",
+        F.array_sort(F.array_distinct(F.flatten("s"))).alias("spans"),
+        F.array_distinct(F.flatten("i")).alias("items"),
     )
 
 
@@ -207,7 +230,7 @@ def remove_contaminated(
     """
     at = docs.columns.index(text_col)
     kept = docs
-    for items in _slices(benchmark, "item_id", "text"):
+    for items in _slices(benchmark, "item_id", "text")[1]:
         known = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window))
 
         def make(known=known):
