@@ -88,3 +88,35 @@ def test_slices_give_every_row_of_repeated_and_null_ids(spark, monkeypatch):
     assert len(whole) == len(rows)
     monkeypatch.setattr(decontaminate, "SLICE_CHARS", 150)
     assert sorted_rows(decontaminate.report(documents(spark, rows), benchmark(spark))) == whole
+
+
+def test_removal_is_the_same_in_slices(spark, monkeypatch):
+    """Hits spread over slices, overlapping passages of two items, words that meet across a cut."""
+    first, second, other = prose(90, 24), prose(91, 24), prose(92, 24)
+    both = " ".join(first.split()[-6:] + second.split()[:14])  # overlaps the end of the one and the start of the other
+    items = [(1, first), (2, second), (3, both), (4, other)]
+    free = prose(93, 90)
+    meets = second.split()
+    rows = [
+        (1, first + " " + prose(94, 32) + " " + other, "en", "a", 1),  # 60 % benchmark, 30 % of each item
+        (2, free + " " + first + " " + second + " " + free, "en", "a", 1),
+        (3, free + " " + " ".join(meets[:9]) + " " + first + " " + " ".join(meets[9:18]) + " " + free, "en", "a", 1),
+        (3, first, "en", "a", 1),
+        (None, free + " " + other, "en", "a", 1),
+        (None, free, "en", "a", 1),
+        (5, None, "en", "a", 1),
+        (1, free + " " + other, "en", "a", 1),
+    ]
+    rows += planted()
+    marks = benchmark(spark, items + ITEMS)
+    docs = documents(spark, rows, clashing=True).selectExpr("*", "'kept' AS spans", "'kept' AS h")
+    whole = decontaminate.remove_contaminated(docs, marks)
+    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 60)
+    assert decontaminate._slices(marks, "item_id", "text")[0] > 5
+    sliced = decontaminate.remove_contaminated(docs, marks)
+    assert sliced.columns == docs.columns
+    assert sorted_rows(sliced) == sorted_rows(whole)
+    kept = {(r.doc_id, r.text) for r in sliced.collect()}
+    assert (None, free) in kept and (5, None) in kept and (3, first) not in kept
+    assert not any(d == 1 and prose(94, 32) in t for d, t in kept)
+    assert (3, free + " " + " ".join(meets[:9]) + "  " + " ".join(meets[9:18]) + " " + free) in kept

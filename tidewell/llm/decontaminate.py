@@ -225,32 +225,58 @@ def remove_contaminated(
     """``docs`` without benchmark passages, all other columns kept.
 
     A document of which at least ``drop_share`` of the words lie in benchmark windows is dropped; in the
-    others the characters from the first to the last word of each hit span are cut out.
+    others the characters from the first to the last word of each hit span are cut out.  With several slices the
+    hits of all are found on the uncut text first, so the share is judged and the text cut once.
     Documents without hits keep their text byte for byte (null stays null).
     """
-    at = docs.columns.index(text_col)
-    kept = docs
-    for items in _slices(benchmark, "item_id", "text")[1]:
-        known = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window))
-
-        def make(known=known):
-            windows = known.value
-
-            def step(batch):
-                texts, keep = [], []
-                for text in batch.column(at).to_pylist():
-                    n, marks, _ = windows.hits(text or "")
-                    hit = int(marks.sum())
-                    keep.append(hit == 0 or hit < drop_share * n)
-                    texts.append(text if hit == 0 or not keep[-1] else _cut(text, marks))
-                columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
-                return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep))
-
-            return step
-
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        kept = map_batches(kept, make, schema)
-    return kept
+    count, slices = _slices(benchmark, "item_id", "text")
+    if count == 1:
+        known = docs.sparkSession.sparkContext.broadcast(WindowSet(next(slices), window))
+        return _without(docs, docs, text_col, drop_share, lambda text, _: known.value.hits(text)[1])
+    name = "spans"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.select(F.col("doc_id"), text_key(text_col).alias("text_key"), F.struct("*").alias("row"))
+    source = ids_and_texts(docs, text_col=text_col).select("doc_id", text_key().alias("text_key"), "text")
+    hits = _hits(source, slices, window).alias("h")
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.text_key") == F.col("h.text_key"))
+    rows = keyed.alias("d").join(hits, same, "left").select("d.row.*", F.col("h.spans").alias(name))
+    return _without(rows, docs, text_col, drop_share, _marks_of)
+
+
+def _marks_of(text: str, spans: list[dict] | None) -> np.ndarray:
+    marks = np.zeros(len(words_of(text)) if spans else 0, bool)
+    for s in spans or []:
+        marks[s["a"] : s["b"]] = True
+    return marks
+
+
+def _without(rows: DataFrame, docs: DataFrame, text_col: str, drop_share: float, marks_of) -> DataFrame:
+    """The columns of ``docs`` in ``rows``, each text judged and cut once by its marks.
+
+    ``marks_of`` takes a text and the last column of ``rows`` and gives a mark per word, or none without hits.
+    """
+    names = docs.columns
+    at = names.index(text_col)
+
+    def make():
+        def step(batch):
+            texts, keep = [], []
+            for text, last in zip(batch.column(at).to_pylist(), _spans_column(batch, len(names))):
+                marks = marks_of(text or "", last)
+                hit = int(marks.sum())
+                keep.append(hit == 0 or hit < drop_share * len(marks))
+                texts.append(text if hit == 0 or not keep[-1] else _cut(text, marks))
+            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
+            return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
+
+        return step
+
+    return map_batches(rows, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
+def _spans_column(batch: pa.RecordBatch, at: int) -> list:
+    return batch.column(at).to_pylist() if batch.num_columns > at else [None] * batch.num_rows
 
 
 def _cut(text: str, marks: np.ndarray) -> str:
