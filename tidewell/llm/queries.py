@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import ann, bpe, chat, decontaminate, langid, lines, quality, secrets, simhash, substrings
+from tidewell.llm import ann, audit, bpe, chat, decontaminate, langid, lines, negatives, quality, rules, secrets, simhash, substrings
 from tidewell.llm.common import table
 from tidewell.session import ship_package
 
@@ -211,3 +212,88 @@ def multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest rows found for every row whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query("op11_compression_rules")
+def compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, compression ratios and the verdict of every document."""
+    return rules.report(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), met AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM r AS a JOIN r ON len(a.v) = len(r.v) AND a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM met WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM pos JOIN met USING (anchor_id)
+WHERE NOT same AND {negatives.LEAST} * positive_score <= 100 * score AND 100 * score <= {negatives.MOST} * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= {negatives.NEGATIVES}
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every positive of the rows whose id is divisible by 100."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return negatives.mine(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS e
+  FROM documents
+), f AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(e, false) AS e
+  FROM d
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, count(*) AS n,
+    count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), o AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+  FROM x AS p, x AS q, x AS r, x AS s, x AS t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS own, string_split(filter_order[1:step - 1], '') AS before
+  FROM o, (SELECT unnest(range(1, 6))::INTEGER AS step)
+), j AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fails_own,
+    len(list_filter(before, lambda b: coalesce(fails[b], false))) AS n_before,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda b: fails[b])) AS n_fails
+  FROM m, steps
+), s AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (n_before = 0 AND NOT fails_own), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (n_before = 0 AND fails_own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (n_before > 0 AND fails_own), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (n_fails = 1 AND fails_own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (n_before = 0 AND fails_own), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (n_before = 0 AND fails_own), 0)::BIGINT AS toxic_lost
+  FROM j GROUP BY ALL
+)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM s
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of every order, per language."""
+    return audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
