@@ -1,7 +1,7 @@
 """Data-quality checks per source.
 
 ``checked_rows`` shuffles two 64-bit hashes per row next to its counts.  Only rows whose hashes occur more than once
-are then compared in full, so duplicate counts are exact and a table without duplicates never moves a row.
+are then read again and compared in full, so duplicate counts are exact and a table without duplicates never moves a row.
 Copies collapse map-side, so one row that makes up much of the table is not a hot key.
 """
 
@@ -16,14 +16,21 @@ from pyspark.sql import types as T
 
 from tidewell.functions.cells import cell_array, count_gaps, count_infinities, is_floating, ref
 from tidewell.operators.grouping import attach
-from tidewell.session import settle
+from tidewell.session import durable, settle
 
 
 def row_hashes(df: DataFrame) -> tuple[Column, Column]:
-    """Two hashes of a row that equal rows share; NULLs are hashed with their position, -0.0 as 0.0."""
-    holes = F.concat(*[F.when(ref(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
-    cells = [ref(c) + F.lit(0.0).cast(df.schema[c].dataType) if is_floating(df, c) else ref(c) for c in df.columns]
-    return F.xxhash64(holes, *cells), F.xxhash64(F.lit("second"), *reversed(cells), holes)
+    """Two hashes of a row that equal rows share; NULLs count by their position, -0.0 is 0.0.
+
+    Cells are hashed as arrays, one per type, so the generated code stays a few loops however wide the row is.
+    """
+    holes = F.array(*[ref(c).isNull() for c in df.columns])
+    kinds: dict[str, list[Column]] = {}
+    for f in df.schema:
+        cell = ref(f.name) + F.lit(0.0).cast(f.dataType) if is_floating(df, f.name) else ref(f.name)
+        kinds.setdefault(f.dataType.simpleString(), []).append(cell)
+    arrays = [F.array(*cells) for _, cells in sorted(kinds.items())]
+    return F.xxhash64(holes, *arrays), F.xxhash64(F.lit("second"), *reversed(arrays), holes)
 
 
 def _hashed(df: DataFrame) -> DataFrame:
@@ -31,34 +38,41 @@ def _hashed(df: DataFrame) -> DataFrame:
     return df.withColumns({"__h1": one, "__h2": two})
 
 
-def checked_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def checked_rows(df: DataFrame, by: Sequence[str], count_cells: bool = True) -> DataFrame:
     """``by..., total_rows, infinity_values, missing_values, duplicate_rows``.
 
-    NaN equals NaN and 0.0 equals -0.0 when rows are compared.
+    NaN equals NaN and 0.0 equals -0.0 when rows are compared.  The first scan is written folded: a row per group for
+    what occurs once and a row per pair of hashes that repeats.  Without repeats there is no second scan.
+    ``count_cells=False`` is for tables known to have no infinite or missing cell.
     """
     names = [c for c in df.columns if c not in by]
     keys = [ref(k) for k in by]
-    packed = _hashed(df).select(*keys, "__h1", "__h2", cell_array(df, names).alias("__cells"))
-    packed = packed.select(
-        *keys, "__h1", "__h2", count_infinities(F.col("__cells")).alias("i"), count_gaps(F.col("__cells")).alias("g")
-    )
-    copies = packed.groupBy(*keys, "__h1", "__h2").agg(F.count(F.lit(1)).alias("n"), F.sum("i").alias("i"), F.sum("g").alias("g"))
+    found = {"i": F.lit(0), "g": F.lit(0)}
+    hashed = _hashed(df)
+    if count_cells:
+        hashed = hashed.withColumn("__cells", cell_array(df, names))
+        found = {"i": count_infinities(F.col("__cells")), "g": count_gaps(F.col("__cells"))}
+    packed = hashed.select(*keys, "__h1", "__h2", *[c.cast("long").alias(n) for n, c in found.items()])
+    sums = [F.sum(c).alias(c) for c in found]
+    copies = packed.groupBy(*keys, "__h1", "__h2").agg(F.count(F.lit(1)).alias("n"), *sums)
+    again = F.when(F.col("n") > 1, F.struct("__h1", "__h2")).alias("again")
+    folded = durable(copies.groupBy(*keys, again).agg(F.sum("n").alias("n"), *sums), "copies")
 
     def total(column):
         return F.coalesce(F.sum(column), F.lit(0))
 
     counted = settle(
-        copies.groupBy(*keys).agg(
+        folded.groupBy(*keys).agg(
             total("n").alias("total_rows"),
             total("i").alias("infinity_values"),
             total("g").alias("missing_values"),
-            total(F.col("n") - 1).alias("suspected"),
+            F.count("again").alias("suspected"),
         )
     )
     plain = counted.select(*keys, "total_rows", "infinity_values", "missing_values", F.lit(0).cast("long").alias("duplicate_rows"))
     if not counted.agg(F.max("suspected")).first()[0]:
         return plain  # equal rows have equal hashes
-    repeated = settle(copies.filter("n > 1").select("__h1", "__h2").distinct())
+    repeated = folded.filter("again is not null").select("again.*").distinct()
     suspects = _hashed(df).join(repeated, ["__h1", "__h2"], "left_semi").drop("__h1", "__h2")
     exact = suspects.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     exact = exact.groupBy(*keys).agg(F.sum(F.col("__n") - 1).alias("__duplicates"))
@@ -75,7 +89,7 @@ def duplicate_counts(df: DataFrame, by: Sequence[str] = (), method: str = "rows"
     accidental 128-bit match (below 1e-14 for 10^12 rows) is acceptable.
     """
     if method == "rows":
-        return checked_rows(df, by).select(*[ref(k) for k in by], "duplicate_rows")
+        return checked_rows(df, by, count_cells=False).select(*[ref(k) for k in by], "duplicate_rows")
     if method != "fingerprint":
         raise ValueError(f"unknown method {method!r}")
     counted = _hashed(df).groupBy(*[ref(k) for k in by], "__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
@@ -162,13 +176,15 @@ def validate_all(
     by: Sequence[str],
     expected_columns: Sequence[str] | None = None,
     expected_types: T.StructType | None = None,
+    count_cells: bool = True,
 ) -> DataFrame:
     """One row per source with the four checks and their verdict.
 
-    Duplicates are reported but do not change the verdict; a failed verdict drops nothing.
+    Duplicates are reported but do not change the verdict; a failed verdict drops nothing.  ``count_cells=False``
+    is for tables known to have no infinite or missing cell.
     """
     names = [c for c in df.columns if c not in by]
-    counted = checked_rows(df, by)
+    counted = checked_rows(df, by, count_cells)
     checked = counted.select(
         *[ref(k) for k in by],
         (F.col("infinity_values") == 0).alias("no_infinity"),

@@ -1,7 +1,9 @@
 """The cleaning job: names, infinity, missing values, checks, report.
 
-The CSV text is parsed once and landed as Parquet; the profile pass and the narrow rewrite-and-write
-pass read that, and the checks read the written result.  All cleaning statistics come from the profile.
+Two passes over the files: the profile pass, from which all cleaning statistics and the counts of bad cells and records
+come, and the narrow pass that rewrites and writes.  The second one observes what it writes, so the checks read
+the written table once, for duplicate rows only.  Strategies that read the rows more often (median, forward fill) land
+them as Parquet first.
 """
 
 from __future__ import annotations
@@ -9,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.cells import ref
+from tidewell.functions.cells import cell_array, count_gaps, count_infinities, ref
 from tidewell.functions.names import normalized, renamed_count
 from tidewell.operators.fill import forward_fill
 from tidewell.operators.infinity import LARGE_VALUE, replace_infinite
@@ -78,15 +80,16 @@ def clean_table(
     exact: bool = True,
     sparse_threshold: float | None = None,
     columns_renamed: int = 0,
+    prof: CellProfile | None = None,
 ) -> Cleaned:
     """Infinity first, then missing values, with statistics per ``by`` group.
 
-    ``row_order`` is required for ``forward_fill``.  ``sparse_threshold`` first drops columns
+    ``prof`` reuses a profile of this very frame.  ``row_order`` is required for ``forward_fill``.  ``sparse_threshold`` first drops columns
     with a larger missing share.
     """
     if missing not in MISSING:
         raise ValueError(f"unknown missing strategy {missing!r}; one of {MISSING}")
-    prof = profile(df, by)
+    prof = prof or profile(df, by)
     if sparse_threshold is not None:
         kept = drop_sparse_columns(df, sparse_threshold, prof)
         if kept.columns != df.columns:
@@ -107,6 +110,24 @@ def clean_table(
     return Cleaned(frame, settle(cleaning_stats(prof, infinity, missing, columns_renamed)))
 
 
+def bad_input(prof: CellProfile, marks: Sequence[str]) -> DataFrame:
+    """``by..., marks...``: sums of 0-and-up counter columns of a profiled frame."""
+    sums = [F.sum(F.when(F.col("column") == m, F.col("finite_sum"))).cast("long").alias(m) for m in marks]
+    return prof.cells.groupBy(*[ref(k) for k in prof.by]).agg(*sums)
+
+
+def observed(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``df``, and rows, infinite and missing cells of whatever pass reads it."""
+    cells = cell_array(df, [c for c in df.columns if c not in by])
+    watch = Observation()
+    return df.observe(
+        watch,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(count_infinities(cells)), F.lit(0)).alias("infinite"),
+        F.coalesce(F.sum(count_gaps(cells)), F.lit(0)).alias("missing"),
+    ), watch
+
+
 def run_report(stats: DataFrame, checks: DataFrame, by: str) -> DataFrame:
     """Per source: cleaning statistics next to the checks; plus an overall row with NULL source."""
     cleaned = stats.join(checks.withColumnRenamed(by, "__key"), F.col("__key").eqNullSafe(ref(by)), "left").drop("__key")
@@ -148,18 +169,30 @@ def run_etl(
     raw = read_csv_folder(
         spark, csv_folder, schema, pattern, normalize=True, headers=headers, skip_bad_files=True, audit=True
     )
-    landed = durable(raw, "landed")
+    if missing in ("median", "forward_fill"):
+        raw = durable(raw, "landed")
     marks = [UNPARSED_CELLS, MALFORMED_RECORDS]
-    audit = settle(landed.groupBy(ref(SOURCE)).agg(*[F.sum(c).alias(c) for c in marks]))
-    raw = landed.drop(*marks)
+    seen = profile(raw, [SOURCE])
+    audit = bad_input(seen, marks)
+    prof = CellProfile(
+        seen.cells.filter(~F.col("column").isin(marks)),
+        seen.by,
+        tuple(c for c in seen.columns if c not in marks),
+        tuple(c for c in seen.numeric if c not in marks),
+    )
     first = headers.filter("error is null").orderBy("path").first()["header"]
-    cleaned = clean_table(raw, [SOURCE], infinity, missing, columns_renamed=renamed_count(first), **clean_options)
-    write_table(cleaned.frame, output, fmt, compression, [SOURCE], mode)
+    cleaned = clean_table(
+        raw.drop(*marks), [SOURCE], infinity, missing, columns_renamed=renamed_count(first), prof=prof, **clean_options
+    )
+    watched, written_cells = observed(cleaned.frame, [SOURCE])
+    write_table(watched, output, fmt, compression, [SOURCE], mode)
     if fmt == "parquet":
         written = spark.read.schema(cleaned.frame.schema).parquet(output)
     else:
         written = read_written_csv(spark, output, cleaned.frame.schema)
-    checks = validate_all(written, [SOURCE], normalized(first), schema)
+    found = written_cells.get
+    dirty = bool(found["infinite"] or found["missing"])
+    checks = validate_all(written, [SOURCE], normalized(first), schema, count_cells=dirty)
     layout = header_consistency(spark, csv_folder, headers=headers).select(F.col("file"), F.col("consistent"))
     checks = (
         checks.join(layout, F.col("file") == ref(SOURCE), "left")

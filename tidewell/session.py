@@ -17,6 +17,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 SETTLE_ROWS = 200_000
+SETTLE_BYTES = 64 << 20
 
 
 def build_session(app_name: str = "tidewell", master: str | None = None, **conf) -> SparkSession:
@@ -95,10 +96,10 @@ def durable(df: DataFrame, tag: str = "stage") -> DataFrame:
 
 
 def settle_counted(stats: DataFrame, max_rows: int = SETTLE_ROWS) -> tuple[DataFrame, int | None]:
-    """Compute a frame once: ``(local relation, its row count)`` up to ``max_rows`` rows,
+    """Compute a frame once: ``(local relation, its row count)`` up to ``max_rows`` rows and ``SETTLE_BYTES``,
     else ``(written table, None)``."""
     head = stats.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
+    if head.num_rows <= max_rows and head.nbytes <= SETTLE_BYTES:
         return stats.sparkSession.createDataFrame(head, schema=stats.schema), head.num_rows
     return durable(stats, "stats"), None
 

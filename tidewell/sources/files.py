@@ -29,10 +29,7 @@ MALFORMED = "_corrupt_record"
 UNPARSED_CELLS, MALFORMED_RECORDS = "unparsed_cells", "malformed_records"  # columns that ``audit`` adds
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
-# Spellings in any case, then spellings of missing cells as written.
-INFINITE = ["inf", "+inf", "infinity", "+infinity"]
-NEGATIVE_INFINITE = ["-inf", "-infinity"]
-NOT_A_NUMBER = ["nan", "-nan"]
+# Spellings of missing cells as written.
 MISSING = [
     "",
     "#N/A",
@@ -54,30 +51,51 @@ MISSING = [
     "nan",
     "null",
 ]
-_MISSING_NUMBER = sorted({m.lower() for m in MISSING} - set(NOT_A_NUMBER))
+NEGATIVE_NAN = "-nan"
+_MISSING_NUMBER = sorted({m.lower() for m in MISSING} - {"nan", NEGATIVE_NAN})
 
 
 def number(cell: Column) -> Column:
-    """Text of a floating cell as a double; NULL for a missing spelling and for what is no number."""
-    low = F.lower(F.trim(cell))
-    return (
-        F.when(low.isin(_MISSING_NUMBER), F.lit(None))
-        .when(low.isin(INFINITE), F.lit(float("inf")))
-        .when(low.isin(NEGATIVE_INFINITE), F.lit(float("-inf")))
-        .when(low.isin(NOT_A_NUMBER), F.lit(float("nan")))
-        .otherwise(low.try_cast("double"))
-    )
+    """Text of a floating cell as a double; NULL for a missing spelling and for what is no number.
+
+    The cast itself knows numbers, infinities and NaN in any case, with blanks around them.
+    """
+    return F.coalesce(cell.try_cast("double"), F.when(F.lower(F.trim(cell)) == NEGATIVE_NAN, F.lit(float("nan"))))
 
 
 def _is_unparsed(cell: Column) -> Column:
     """A cell with text that is neither a number nor a missing spelling."""
-    return cell.isNotNull() & ~F.lower(F.trim(cell)).isin(_MISSING_NUMBER) & number(cell).isNull()
+    return cell.isNotNull() & number(cell).isNull() & ~F.lower(F.trim(cell)).isin(_MISSING_NUMBER)
 
 
 def _floating(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.FloatType, T.DoubleType))
 
 
+def _inferred(reader, paths, names: Sequence[str] | None) -> T.StructType:
+    """Names and types from the data; a column of numbers may hold spellings that inference does not know."""
+    frame = reader.option("inferSchema", "true").csv(paths)
+    frame = frame.toDF(*names) if names else frame
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema])
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    if texts:
+        odd = [F.count_if(_is_unparsed(ref(c))) for c in texts] + [F.count(number(ref(c))) for c in texts]
+        counts = frame.agg(*[c.alias(f"c{i}") for i, c in enumerate(odd)]).first()
+        for i, c in enumerate(texts):
+            if counts[i] == 0 and counts[len(texts) + i] > 0:
+                schema[c].dataType = T.DoubleType()
+    return schema
+
+
+def _rescued(schema: T.StructType, options: dict) -> Column:
+    """A rejected record once more, its floating cells as text: fields ``c0``, ``c1``, ... and ``broken``."""
+    kinds = ["string" if _floating(f) else f.dataType.simpleString() for f in schema]
+    fields = ", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds))
+    options = {k: v for k, v in options.items() if k not in ("header", "encoding", "pathGlobFilter")}
+    again = F.from_csv(F.col(MALFORMED), f"{fields}, broken string", {**options, "columnNameOfCorruptRecord": "broken"})
+    return F.when(F.col(MALFORMED).isNotNull(), again)
+
+
 def _scan(
     spark: SparkSession,
     paths,
@@ -87,38 +105,42 @@ def _scan(
     audit: bool,
     names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Floating columns come in as text, so that every spelling of infinity and missing is understood."""
-    reader = spark.read.options(**{**CSV_OPTIONS, **options})
+    """Two tiers: the CSV reader parses numbers itself; only the records it rejects are read again, as text.
+
+    Their floating cells go through ``number``, which understands every spelling of infinity and missing.  The second tier
+    is a loop over one array of cells, so a wide table does not make the generated code longer by column.
+    """
+    options = {**CSV_OPTIONS, **options}
+    reader = spark.read.options(**options)
     if schema is None:
-        frame = reader.option("inferSchema", "true").csv(paths)
-        frame = frame.toDF(*names) if names else frame
-        texts = [f.name for f in frame.schema if isinstance(f.dataType, T.StringType)]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema])
-        if texts:  # a column of numbers with a spelling that inference does not know
-            odd = [F.count_if(_is_unparsed(ref(c))) for c in texts] + [F.count(number(ref(c))) for c in texts]
-            counts = frame.agg(*[c.alias(f"c{i}") for i, c in enumerate(odd)]).first()
-            for i, c in enumerate(texts):
-                if counts[i] == 0 and counts[len(texts) + i] > 0:
-                    schema[c].dataType = T.DoubleType()
-    else:
-        raw = [T.StructField(f.name, T.StringType() if _floating(f) else f.dataType) for f in schema]
-        marked = [T.StructField(MALFORMED, T.StringType())] if audit else []
-        reader = reader.schema(T.StructType([*raw, *marked])).option("columnNameOfCorruptRecord", MALFORMED)
-        frame = reader.csv(paths)
-    columns = []
-    for f in schema:
-        cell = ref(f.name)
-        if _floating(f) and isinstance(frame.schema[f.name].dataType, T.StringType):
-            cell = number(cell).cast(f.dataType)
-        elif missing_text and isinstance(f.dataType, T.StringType):
-            cell = F.when(~F.trim(cell).isin(MISSING), cell)
-        columns.append(cell.alias(f.name))
-    if audit:
-        bad = [_is_unparsed(ref(f.name)).cast("int") for f in schema if _floating(f) and isinstance(frame.schema[f.name].dataType, T.StringType)]
-        count = F.aggregate(F.array(*bad), F.lit(0), lambda n, x: n + x) if bad else F.lit(0)
-        broken = F.col(MALFORMED).isNotNull().cast("int") if MALFORMED in frame.columns else F.lit(0)
-        columns += [count.alias(UNPARSED_CELLS), broken.alias(MALFORMED_RECORDS)]
-    return frame.select(*columns, F.col("_metadata.file_path").alias("__path"))
+        schema = _inferred(reader, paths, names)
+    floating = [i for i, f in enumerate(schema) if _floating(f)]
+    two_tiers = audit or bool(floating)
+    marked = [T.StructField(MALFORMED, T.StringType())] if two_tiers else []
+    typed = T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *marked])
+    frame = reader.option("inferSchema", "false").schema(typed).option("columnNameOfCorruptRecord", MALFORMED).csv(paths)
+    frame = frame.withColumn("__path", F.col("_metadata.file_path"))
+    cells = [ref(f.name) for f in schema]
+    marks = []
+    if two_tiers:
+        frame = frame.withColumn("__rescued", _rescued(schema, options))
+        texts = F.array(*[F.col(f"__rescued.c{i}") for i in floating]).cast("array<string>")
+        again = F.col("__rescued").isNotNull()
+        frame = frame.withColumns(
+            {
+                "__numbers": F.when(again, F.transform(texts, number)),
+                UNPARSED_CELLS: F.when(again, F.size(F.filter(texts, _is_unparsed))).otherwise(0),
+                MALFORMED_RECORDS: F.col("__rescued.broken").isNotNull().cast("int"),
+            }
+        )
+        for at, i in enumerate(floating):
+            cells[i] = F.when(again, F.get("__numbers", F.lit(at)).cast(schema[i].dataType)).otherwise(cells[i])
+        marks = [UNPARSED_CELLS, MALFORMED_RECORDS] if audit else []
+    if missing_text:
+        for i, f in enumerate(schema):
+            if isinstance(f.dataType, T.StringType):
+                cells[i] = F.when(~F.trim(cells[i]).isin(MISSING), cells[i])
+    return frame.select(*[c.alias(f.name) for c, f in zip(cells, schema)], *marks, "__path")
 
 
 def read_csv(
