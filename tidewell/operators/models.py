@@ -1,22 +1,29 @@
 """Classifiers as ``pyspark.ml`` pipelines, their importances, leaderboard and scored export.
 
-Training stays inside Spark ML; only per-feature and per-model numbers reach the driver.
+Training stays inside Spark ML; only per-feature and per-model numbers reach the driver.  Stored models are versions with a manifest.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Mapping, Sequence
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.cells import ref
 from tidewell.operators.evaluation import binary_metrics
-from tidewell.session import settle
+from tidewell.session import durable, settle
 
 # Hyper-parameters of the two classifiers.
 BINARY = {"maxDepth": 6, "stepSize": 0.1, "maxIter": 100, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
@@ -29,15 +36,37 @@ def assembler(features: Sequence[str], handle_invalid: str = "error") -> VectorA
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid=handle_invalid)
 
 
+def _fitted(stages: Sequence, df: DataFrame) -> PipelineModel:
+    """The fitted pipeline without training summaries: they hold the session, which cannot always be sent to executors."""
+    return Pipeline(stages=list(stages)).fit(df).copy()
+
+
+def held_back(key: Sequence[str], share: float) -> Column:
+    """True for about ``share`` of the rows, chosen by a hash of their key columns: the same ones on every run."""
+    return F.pmod(F.xxhash64(*[ref(c) for c in key], F.lit("validation")), F.lit(1 << 20)) < int(share * (1 << 20))
+
+
 def train_binary(
-    df: DataFrame, features: Sequence[str], label: str, weight: str | None = None, **params
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    weight: str | None = None,
+    validation: str | None = None,
+    tolerance: float = 0.0,
+    **params,
 ) -> PipelineModel:
-    """Boosted trees on a 0/1 label; ``weight`` names a column of class weights."""
+    """Boosted trees on a 0/1 label; ``weight`` names a column of class weights.
+
+    ``validation`` names a boolean column (see ``held_back``): its rows are not learned from, rounds end when their loss no
+    longer falls by ``tolerance``, and the model keeps the rounds up to the least loss.
+    """
     settings = {**BINARY, **params}
+    if validation:
+        settings |= {"validationIndicatorCol": validation, "validationTol": tolerance}
     if weight:
         settings["weightCol"] = weight
     booster = GBTClassifier(featuresCol=VECTOR, labelCol=label, **settings)
-    return Pipeline(stages=[assembler(features), booster]).fit(df)
+    return _fitted([assembler(features), booster], df)
 
 
 def train_multiclass(
@@ -59,12 +88,73 @@ def train_multiclass(
         learner = OneVsRest(classifier=booster, featuresCol=VECTOR, labelCol="label_id", weightCol=weight)
     else:
         raise ValueError(f"unknown method {method!r}")
-    return Pipeline(stages=[indexer, assembler(features), learner]).fit(df)
+    return _fitted([indexer, assembler(features), learner], df)
+
+
+def rounds_used(model: PipelineModel) -> int:
+    return model.stages[-1].getNumTrees
+
+
+def log_loss(model: PipelineModel, df: DataFrame, label: str) -> float:
+    """Mean loss of the probabilities of class 1, kept 1e-15 away from 0 and 1."""
+    scored = score_binary(model, df.withColumn("__y", ref(label)), "__p")
+    p = F.least(F.greatest("__p", F.lit(1e-15)), F.lit(1 - 1e-15))
+    return scored.agg(F.avg(-F.log(F.when(F.col("__y") == 1, p).otherwise(1 - p)))).first()[0]
+
+
+def time_folds(df: DataFrame, at: str, folds: int) -> list[tuple[Column, Column]]:
+    """``(train, validate)`` conditions: each validation slice of the time axis follows all its training rows.
+
+    The edges are quantiles of the times, so the ``folds + 1`` slices hold about as many rows each.
+    """
+    shares = [(i + 1) / (folds + 1) for i in range(folds)]
+    when = F.unix_micros(ref(at).cast("timestamp"))
+    edges = df.agg(F.percentile_approx(when, shares, 100_000).alias("e")).first()["e"]
+    out = []
+    for i, low in enumerate(edges):
+        later = when >= F.lit(low)
+        out.append((when < F.lit(low), later if i + 1 == len(edges) else later & (when < F.lit(edges[i + 1]))))
+    return out
+
+
+def grid_search(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    at: str,
+    grid: Mapping[str, Sequence],
+    folds: int = 3,
+    train=train_binary,
+    parallelism: int = 4,
+) -> DataFrame:
+    """Every combination of ``grid`` over time-ordered folds: its parameters as JSON, folds, rows scored, mean AUC and
+    log loss, best AUC first.
+
+    The features are prepared and written once; models are trained side by side, ``parallelism`` at a time, each job on
+    the whole cluster.  Only the scores reach the driver.
+    """
+    prepared = durable(df.select(*[ref(c) for c in features], ref(label), ref(at)), "grid")
+    slices = time_folds(prepared, at, folds)
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
+
+    def scored(task):
+        params, (before, after) = task
+        model = train(prepared.filter(before), list(features), label, **params)
+        board = binary_metrics(score_binary(model, prepared.filter(after)).select(ref(label).alias("label"), "score"))
+        return (json.dumps(params, sort_keys=True), *board.select("n", "auc", "logloss").first())
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(scored), list(product(settings, slices)), chunksize=1)
+    board = df.sparkSession.createDataFrame(rows, "params string, n long, auc double, logloss double")
+    board = board.groupBy("params").agg(
+        F.count("*").alias("folds"), F.sum("n").alias("n"), F.avg("auc").alias("auc"), F.avg("logloss").alias("logloss")
+    )
+    return settle(board.orderBy(F.desc_nulls_last("auc"), "params"))
 
 
 def train_forest(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     forest = RandomForestClassifier(featuresCol=VECTOR, labelCol=label, **{**FOREST, **params})
-    return Pipeline(stages=[assembler(features), forest]).fit(df)
+    return _fitted([assembler(features), forest], df)
 
 
 def model_importance(model: PipelineModel, n: int | None = 20) -> DataFrame:
@@ -114,3 +204,46 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+MANIFEST = "version string, created long, features array<string>, schema string, params string, metrics string"
+
+
+def save_version(
+    model: PipelineModel, folder: str, schema: T.StructType, params: Mapping | None = None, metrics: Mapping | None = None
+) -> str:
+    """Store a model as a new version below ``folder`` and return the version's name.
+
+    The manifest (features, their types, parameters, metrics) is written last: a version without one was broken off and is
+    never loaded.  Versions are never overwritten.
+    """
+    spark = SparkSession.builder.getOrCreate()
+    created = time.time_ns()
+    version = f"v{created}-{uuid.uuid4().hex[:8]}"
+    features = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    needed = T.StructType([T.StructField(c, schema[c].dataType) for c in features])
+    model.write().save(f"{folder}/{version}/model")
+    row = (version, created, list(features), needed.json(), json.dumps(dict(params or {})), json.dumps(dict(metrics or {})))
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.json(f"{folder}/{version}/manifest")
+    return version
+
+
+def versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifests of all complete versions, newest first."""
+    return spark.read.schema(MANIFEST).json(f"{folder}/*/manifest").filter("version is not null").orderBy(F.desc("created"), "version")
+
+
+def load_newest(folder: str, schema: T.StructType | None = None) -> tuple[PipelineModel, dict]:
+    """The newest complete version and its manifest; an error if ``schema`` lacks a feature or has it as another type."""
+    spark = SparkSession.builder.getOrCreate()
+    found = versions(spark, folder).first()
+    if found is None:
+        raise FileNotFoundError(f"{folder}: no complete version")
+    if schema is not None:
+        given = {f.name: f.dataType for f in schema}
+        wanted = T.StructType.fromJson(json.loads(found["schema"]))
+        wrong = [f.name for f in wanted if given.get(f.name) != f.dataType]
+        if wrong:
+            raise ValueError(f"{found['version']} needs other columns or types: {wrong}")
+    manifest = found.asDict() | {k: json.loads(found[k]) for k in ("params", "metrics")}
+    return load_model(f"{folder}/{found['version']}/model"), manifest

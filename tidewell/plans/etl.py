@@ -8,9 +8,11 @@ them as Parquet first.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,7 @@ from tidewell.sources.files import (
     SOURCE,
     UNPARSED_CELLS,
     csv_headers,
+    fingerprints,
     header_consistency,
     path_within,
     read_csv_folder,
@@ -165,9 +168,35 @@ def run_etl(
     rows is written; one without rows shows ``empty``; a failed check is reported and the file is still
     written.  The overall row is ``failed`` if any file is, else ``success``.
     """
-    headers = settle(csv_headers(spark, csv_folder, pattern).withColumn(SOURCE, path_within(F.col("path"), csv_folder)))
+    headers = _headers(spark, csv_folder, pattern)
+    report, _ = _clean_files(spark, csv_folder, headers, output, schema, infinity, missing, fmt, compression, mode, pattern, **clean_options)
+    if report_path:
+        report.write.mode(mode).json(report_path)
+    return report
+
+
+def _headers(spark: SparkSession, csv_folder: str, pattern: str) -> DataFrame:
+    return settle(csv_headers(spark, csv_folder, pattern).withColumn(SOURCE, path_within(F.col("path"), csv_folder)))
+
+
+def _clean_files(
+    spark: SparkSession,
+    csv_folder: str,
+    headers: DataFrame,
+    output: str,
+    schema: T.StructType | None,
+    infinity: str,
+    missing: str,
+    fmt: str,
+    compression: str | None,
+    mode: str,
+    pattern: str,
+    whole_folder: bool = True,
+    **clean_options,
+) -> tuple[DataFrame, CellProfile]:
+    """Clean the files of ``headers`` into their partitions of ``output``: the report and the profile of what was read."""
     raw = read_csv_folder(
-        spark, csv_folder, schema, pattern, normalize=True, headers=headers, skip_bad_files=True, audit=True
+        spark, csv_folder, schema, pattern, normalize=True, headers=headers, skip_bad_files=True, audit=True, whole_folder=whole_folder
     )
     if missing in ("median", "forward_fill"):
         raw = durable(raw, "landed")
@@ -185,11 +214,14 @@ def run_etl(
         raw.drop(*marks), [SOURCE], infinity, missing, columns_renamed=renamed_count(first), prof=prof, **clean_options
     )
     watched, written_cells = observed(cleaned.frame, [SOURCE])
-    write_table(watched, output, fmt, compression, [SOURCE], mode)
+    how = {} if whole_folder else {"partitionOverwriteMode": "dynamic"}
+    write_table(watched, output, fmt, compression, [SOURCE], mode, **how)
     if fmt == "parquet":
         written = spark.read.schema(cleaned.frame.schema).parquet(output)
     else:
         written = read_written_csv(spark, output, cleaned.frame.schema)
+    if not whole_folder:  # partitions of other files stay unread
+        written = written.join(headers.select(SOURCE), SOURCE, "left_semi").select(*cleaned.frame.columns)
     found = written_cells.get
     dirty = bool(found["infinite"] or found["missing"])
     checks = validate_all(written, [SOURCE], normalized(first), schema, count_cells=dirty)
@@ -219,10 +251,77 @@ def run_etl(
     report = run_report(stats.drop("error").na.fill(0), checks, SOURCE).join(
         found.withColumnRenamed(SOURCE, "__s"), F.col("__s").eqNullSafe(ref(SOURCE)), "left"
     ).drop("__s")
-    report = settle(report)
-    if report_path:
-        report.write.mode(mode).json(report_path)
-    return report
+    return settle(report), prof
+
+
+@dataclass(frozen=True)
+class Increment:
+    """What one incremental run did: its report (None without new files), the files it read, and what is known of all files."""
+
+    report: DataFrame | None
+    read: DataFrame
+    known: DataFrame
+
+
+STATE = (
+    f"{SOURCE} string, length long, modified long, run long, column string, rows long, n_inf long, n_missing long, "
+    "finite_min double, finite_max double, finite_sum double"
+)
+
+
+def known_files(spark: SparkSession, state: str) -> DataFrame:
+    """The latest state of every file cleaned so far: its fingerprint and, per column, counts, extremes and sums.
+
+    The rows add up: grouped by ``column`` they describe all files together, without reading any.
+    """
+    try:
+        rows = spark.read.schema(STATE).parquet(state)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], STATE)
+    latest = rows.groupBy(SOURCE).agg(F.max("run").alias("run"))
+    return rows.join(latest, [SOURCE, "run"], "left_semi")
+
+
+def run_incremental(
+    spark: SparkSession,
+    csv_folder: str,
+    output: str,
+    state: str,
+    schema: T.StructType,
+    infinity: str = "max",
+    missing: str = "drop",
+    compression: str | None = None,
+    pattern: str = "*.csv",
+    **clean_options,
+) -> Increment:
+    """Clean the files of a folder that are new or changed since the last run; the others are not opened.
+
+    Cleaning statistics are scoped by file, so the table is the one a full run would write.  A file is known by length and
+    time of change.  Its partition of ``output`` is replaced first and its state appended last: a run that breaks
+    off is repeated by the next one.  Files that failed have no state and are tried again; partitions of files
+    that are gone stay.
+    """
+    now = fingerprints(spark, csv_folder, pattern)
+    before = known_files(spark, state).select(SOURCE, "length", "modified").distinct()
+    pending = settle(now.join(before, [SOURCE, "length", "modified"], "left_anti"))
+    if pending.isEmpty():
+        return Increment(None, pending.select(SOURCE), known_files(spark, state))
+    headers = settle(
+        csv_headers(spark, csv_folder, pattern, pending.select(SOURCE)).withColumn(SOURCE, path_within(F.col("path"), csv_folder))
+    )
+    report = None
+    if not headers.filter("error is null").isEmpty():
+        report, prof = _clean_files(
+            spark, csv_folder, headers, output, schema, infinity, missing, "parquet", compression, "overwrite", pattern,
+            whole_folder=False, **clean_options,
+        )
+        good = headers.filter("error is null").select(SOURCE)
+        rows = pending.join(good, SOURCE, "left_semi").join(prof.per_column(), SOURCE, "left")
+        names = [f.split()[0] for f in STATE.split(", ")]
+        rows.withColumn("run", F.lit(time.time_ns())).select(*names).write.mode("append").parquet(state)
+    return Increment(report, headers.select(SOURCE), known_files(spark, state))
 
 
 def read_written_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

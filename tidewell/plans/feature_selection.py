@@ -117,6 +117,5 @@ def write_reports(selection: DataFrame, folder: str, mode: str = "errorifexists"
     spark = selection.sparkSession
     body = json.dumps({"selected_features": names, "count": len(names)})
     spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode(mode).text(f"{folder}/selected_features")
-    lines = [f"Total features selected: {len(names)}", "", "Top 20 features:"]
-    lines += [f"{i:2d}. {r['feature']:50s} {r['importance']:.4f}" for i, r in enumerate(rows[:20], 1)]
-    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode(mode).text(f"{folder}/report")
+    table = ["rank\tfeature\timportance"] + [f"{i}\t{r['feature']}\t{r['importance']:.6f}" for i, r in enumerate(rows[:20], 1)]
+    spark.createDataFrame([("\n".join(table),)], "value string").coalesce(1).write.mode(mode).text(f"{folder}/report")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewell.fixtures import DIRTY_SQL, dirty_lineitem, table
 from tidewell.operators.grouping import attach
 from tidewell.operators.quality import validate_all
-from tidewell.plans.etl import clean_table, run_etl, run_report
+from tidewell.plans.etl import clean_table, run_etl, run_incremental, run_report
 from tidewell.registry.base import query
 from tidewell.registry.cleaning import KEY_SQL, KEYS, MAX_SQL
 from tidewell.session import scratch_path, settle
@@ -286,6 +286,33 @@ def etl_run(spark, sf_dir):
     )
 
 
+@query(
+    "etl_incremental",
+    STATS_SQL
+    + """ SELECT source_file, original_rows, final_rows, infinity_values, missing_values, source_file = 'R' AS read_last
+      FROM stats WHERE source_file IS NOT NULL""",
+)
+def etl_incremental(spark, sf_dir):
+    """Files of one flag are added to cleaned files of the others: what the table then holds, and which files the last run read."""
+    dirty = dirty_lineitem(spark, sf_dir)
+    source, target, state = (scratch_path(spark, tag) for tag in ("raw", "clean", "state"))
+    schema = dirty.drop("source_file").schema
+    late = F.col("source_file") == "R"
+    one = dirty.repartitionByRange(1, "source_file")
+    write_table(one.filter(~late), source, "csv", partition_by=["source_file"])
+    run_incremental(spark, source, target, state, schema)
+    write_table(one.filter(late), source, "csv", partition_by=["source_file"], mode="append")
+    last = run_incremental(spark, source, target, state, schema)
+    flag = F.regexp_extract("source_file", "source_file=(.)", 1).alias("source_file")
+    known = last.known.groupBy(flag, F.col("source_file").alias("file")).agg(
+        F.max("rows").alias("original_rows"), F.sum("n_inf").alias("infinity_values"), F.sum("n_missing").alias("missing_values")
+    )
+    written = spark.read.parquet(target).groupBy(flag).agg(F.count("*").alias("final_rows"))
+    read = last.read.select(flag).distinct().withColumn("read_last", F.lit(True))
+    rows = known.drop("file").join(written, "source_file").join(read, "source_file", "left")
+    return rows.withColumn("read_last", F.coalesce("read_last", F.lit(False)))
+
+
 @query(
     "etl_failed_file",
     """SELECT count(*) AS rows_written, sum(l_quantity) AS quantity, 'failed' AS overall, 'failed' AS cut_status,

@@ -20,7 +20,7 @@ from tidewell.streaming.ingest import (
     write_updates,
 )
 from tidewell.streaming.scoring import alerts, score_stream
-from tidewell.streaming.windows import connections, request_rate, unique_destinations
+from tidewell.streaming.windows import bursts, connections, request_rate, unique_destinations
 
 DAY_SQL = "date_trunc('day', ts)::TIMESTAMP"
 
@@ -90,18 +90,42 @@ def stream_windows(spark, sf_dir):
 @query("stream_unique_destinations", DISTINCT_SQL)
 def stream_destinations(spark, sf_dir):
     """Chained streaming aggregates in append mode; a late closing record lets the watermark pass every window."""
+    events, path = _closed(spark, sf_dir)
+    stream = unique_destinations(
+        targets(file_stream(spark, path, events.schema, max_files=1000)), "user_id", "k", "ts", "1 day", "1 hour"
+    )
+    out = scratch_path(spark, "closed")
+    write_stream(stream, out, scratch_path(spark, "mark"), available_now=True).awaitTermination()
+    return naive(spark.read.schema(stream.schema).parquet(out))
+
+
+def _closed(spark, sf_dir):
+    """The events with a closing record of user -1, 40 days after the latest, as files to stream."""
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "events")
     latest = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("ts"))
     given = {"ts": F.col("ts"), "props": F.lit('{"k": 0}'), "user_id": F.lit(-1)}  # its own window stays open
     closing = latest.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
     events.unionByName(closing).write.parquet(path)
-    stream = unique_destinations(
-        targets(file_stream(spark, path, events.schema, max_files=1000)), "user_id", "k", "ts", "1 day", "1 hour"
-    )
-    out = scratch_path(spark, "closed")
+    return events, path
+
+
+@query(
+    "stream_alerts",
+    """SELECT user_id, min(ts) AS first_at, max(ts) AS last_at, count(*) AS events FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS burst FROM (
+        SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+        FROM events))
+    GROUP BY user_id, burst HAVING count(*) >= 2""",
+)
+def stream_alerts(spark, sf_dir):
+    """One alert per user and burst of at least two events, a burst ending after six quiet hours."""
+    events, path = _closed(spark, sf_dir)
+    stream = bursts(file_stream(spark, path, events.schema, max_files=1000), "user_id", "ts", "6 hours", 2, "1 hour")
+    out = scratch_path(spark, "bursts")
     write_stream(stream, out, scratch_path(spark, "mark"), available_now=True).awaitTermination()
-    return naive(spark.read.schema(stream.schema).parquet(out))
+    found = spark.read.schema(stream.schema).parquet(out)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_at", "last_at")})
 
 
 @query("file_replay", KEYED_SQL)

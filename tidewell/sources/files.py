@@ -210,19 +210,24 @@ def _fields(line: str) -> list[str]:
     return next(csv.reader([line.rstrip("\r")]), [])
 
 
-def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv", only: DataFrame | None = None) -> DataFrame:
     """``path, header: array<string>, error`` per file; ``error`` is NULL for a readable file.
 
+    ``only`` names the wanted files in ``source_file``; no other is opened.
+
     Each task opens its files and reads one line of each, compressed ones to their end.  Where the storage is not one Arrow can
     open, the lines come from a text scan instead, which reads the files whole.
     """
     paths = list_files(spark, folder, pattern)
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    if only is not None:
+        listed = listed.join(only, path_within(F.col("path"), folder) == only[SOURCE], "left_semi")
     slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     try:
         locate(paths[0]) if paths else None
     except (pa.ArrowException, OSError, ValueError):
-        lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
+        wanted = paths if only is None else [r["path"] for r in listed.collect()]
+        lines = spark.read.option("pathGlobFilter", pattern).text(wanted).select(
             F.col("_metadata.file_path").alias("path"),
             F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("id")).alias("at"),
             "value",
@@ -254,6 +259,13 @@ def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def fingerprints(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``source_file, length, modified`` of the files of a folder, from its listing; no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    modified = F.unix_micros("modificationTime").alias("modified")
+    return listed.select(path_within(F.col("path"), folder).alias(SOURCE), "length", modified)
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -295,6 +307,7 @@ def read_csv_folder(
     missing_text: bool = True,
     multi_line: bool = False,
     audit: bool = False,
+    whole_folder: bool = True,
     **options,
 ) -> DataFrame:
     """All CSV files of a folder in one scan per header layout, with ``source_file``.
@@ -304,7 +317,7 @@ def read_csv_folder(
     with NULL for absent columns.  ``schema`` and the result use normalised names when
     ``normalize`` is set.  A file that cannot be read to its end is an error, or left out whole with
     ``skip_bad_files``; it is never read in part.  ``audit`` adds per row the number of cells that are no number
-    and whether the record had the wrong number of fields.
+    and whether the record had the wrong number of fields.  ``whole_folder=False``: only the files of ``headers``.
     """
     found = headers if headers is not None else csv_headers(spark, folder, pattern)
     bad = found.filter("error is not null")
@@ -316,7 +329,7 @@ def read_csv_folder(
     if not layouts:
         raise FileNotFoundError(f"{folder}/{pattern}")
     files: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    if len(layouts) > 1 or some_bad:
+    if len(layouts) > 1 or some_bad or not whole_folder:
         for row in good.collect():
             files[tuple(row["header"])].append(row["path"])
     wanted = {f.name: f.dataType for f in schema} if schema is not None else None

@@ -77,3 +77,19 @@ def unique_destinations(
     else:
         counted = pairs.groupBy(ref(source), "window")
     return _spread(counted.agg(F.count(F.lit(1)).alias("destinations")), [source, "destinations"])
+
+
+def bursts(
+    df: DataFrame, source: str, at: str, quiet: str, least: int = 1, watermark: str | None = None
+) -> DataFrame:
+    """``source, first_at, last_at, events``: one alert per source and burst of rows.
+
+    A burst ends when the source is quiet for ``quiet``; bursts of fewer than ``least`` rows raise none.  In a stream a
+    burst is state until the watermark passes its end, then it is emitted once and forgotten (append mode), so the
+    state is bounded by the sources active within ``quiet`` plus the watermark.
+    """
+    timed = with_event_time(df, at, watermark).filter(ref(at).isNotNull())
+    merged = timed.groupBy(ref(source), F.session_window(at, quiet)).agg(
+        F.min(ref(at)).alias("first_at"), F.max(ref(at)).alias("last_at"), F.count(F.lit(1)).alias("events")
+    )
+    return merged.filter(F.col("events") >= least).select(ref(source), "first_at", "last_at", "events")
