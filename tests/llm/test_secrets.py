@@ -53,6 +53,16 @@ def test_ownership_tells_examples_from_live_ones(spark):
     assert all("live:13:33" in r.spans for r in secrets.report(documents(spark, few)).collect())
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
+    text = "shared token=copiedExample1234567"
+    for n, kind in ((secrets.EXAMPLE_REPOS - 1, "live"), (secrets.EXAMPLE_REPOS, "example"), (200, "example")):
+        rows = [(i, text, "en", "one", 1) for i in range(n)] + [(900, f"{text} token=ownValue98765432", "en", "one", 1)]
+        rows = rows[1:] + rows[-1:]  # a repository listed twice counts once
+        got = {r.doc_id: r.spans for r in secrets.report(documents(spark, rows)).collect()}
+        assert all(spans.startswith(f"assign:7:33,{kind}:13:33") for spans in got.values())
+        assert got[900].endswith("assign:34:56,live:40:56")
+
+
 def test_awkward_tables(spark):
     rows = same_with_clashes(spark, secrets.report)
     assert len(rows) == len(awkward_rows()) and all(r[5] == "" for r in rows)

@@ -2,8 +2,9 @@
 
 Candidates are the matches of the fixed patterns below, found in whole texts.  Positions come from splitting a
 text by the same pattern: the pieces and matches before a match add up to its start.  The values of all candidates
-are hashed and counted corpus-wide by distinct repositories and distinct owners.  A value that many owners carry is a
-copied example; one that few owners carry and that looks random is a live-looking credential.  Each verdict adds
+are hashed and counted corpus-wide by distinct repositories and distinct owners.  A value that several owners carry, or
+very many repositories of fewer owners, is widely copied: an example.  One that stays within few repositories of few owners and
+looks random is a live-looking credential.  Each verdict adds
 a span over the value (kind ``example`` or ``live``); the candidates' own spans always stay.
 
 Counts collapse to one row per value, repository and owner before they meet, so a value held by a third of all
@@ -34,6 +35,7 @@ KINDS = [
 VERDICTS = ["live", "example"]
 ORDER = [kind for kind, *_ in KINDS] + VERDICTS
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 50
 RANDOM_CHARACTERS = 8
 
 
@@ -114,9 +116,9 @@ def scan(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id", i
     hashed = candidates(docs, owner_col, repo_col, id_col).withColumn("random", live)
     found = durable(hashed.withColumn("value", F.sha2("value", 256)), "candidates")  # no secret is written out
     counts = ownership(found)
+    copied = (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repos") >= EXAMPLE_REPOS)
     judged = found.join(counts, "value").withColumn(
-        "added",
-        F.when(F.col("n_owners") >= EXAMPLE_OWNERS, F.lit(ORDER.index("example"))).otherwise(F.col("random")),
+        "added", F.when(copied, F.lit(ORDER.index("example"))).otherwise(F.col("random"))
     )
     own = F.struct(F.col("start"), F.col("kind"), F.col("end"))
     extra = F.struct(F.col("value_start").alias("start"), F.col("added").alias("kind"), F.col("end"))
