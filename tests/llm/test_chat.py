@@ -73,3 +73,17 @@ def test_report_reads_back_what_was_said(spark):
     assert got[2].turns_sha256 == sha("odd\nrole\n\n\n\n") and got[2].loss_chars == 0 and got[2].loss_sha256 == sha("")
     assert got[None].loss_chars == 2
     assert chat.report(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_message_listed_twice_is_its_smallest_row_as_a_whole(spark):
+    listed = [
+        ("t", 1, None, "user", "one", 0.0),
+        ("t", 3, None, "user", "three", 0.0),
+        ("t", 2, 1, "z", "belongs to parent 1", 0.0),
+        ("t", 2, 3, "a", "belongs to parent 3", 0.0),
+        ("t", 4, 2, "q", "low", 1.0),
+        ("t", 4, 2, "b", "high", 2.0),
+    ]
+    got = chat.formatted(spark.createDataFrame(listed, MESSAGES), keep=None).select("leaf", chat.parsed(F.col("formatted")).alias("turns"))
+    said = {r.leaf: [(t.role, t.text) for t in r.turns] for r in got.collect()}
+    assert said == {4: [("user", "one"), ("z", "belongs to parent 1"), ("q", "low")], 3: [("user", "three")]}

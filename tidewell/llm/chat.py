@@ -106,11 +106,10 @@ def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
 
 def formatted(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     """One row per chosen path: ``tree, leaf, formatted, loss`` (code point spans of the learned texts)."""
-    texts = messages.filter("node is not null").groupBy("tree", "node").agg(
-        F.min(
-            F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-        ).alias("m")
-    )
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")
+    role, text = (F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text"))
+    # the whole smallest row of a message listed twice: ``branches`` takes the parent and score of the same one
+    texts = messages.filter("node is not null").groupBy("tree", "node").agg(F.min(F.struct("parent", score, role, text)).alias("m"))
     paths = branches(messages, keep)
     rows = paths.alias("p").join(texts.alias("t"), _same("p", "t", ("node", "node"))).select("p.*", "m.role", "m.text")
     rows = rows.withColumn("body", escape(F.col("text"))).withColumn(
