@@ -65,7 +65,7 @@ def test_report_against_all_windows(spark):
 
 def test_slices_of_a_large_benchmark_give_the_same(spark, monkeypatch):
     whole = sorted_rows(decontaminate.report(documents(spark, planted()), benchmark(spark)))
-    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 150)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 150)
     assert sorted_rows(decontaminate.report(documents(spark, planted()), benchmark(spark))) == whole
 
 
@@ -86,7 +86,7 @@ def test_slices_give_every_row_of_repeated_and_null_ids(spark, monkeypatch):
     rows += [(None, t, "en", "a", 1) for t in (prose(50, 30), prose(52, 15) + " end", prose(80, 20), None, prose(50, 30))]
     whole = sorted_rows(decontaminate.report(documents(spark, rows), benchmark(spark)))
     assert len(whole) == len(rows)
-    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 150)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 150)
     assert sorted_rows(decontaminate.report(documents(spark, rows), benchmark(spark))) == whole
 
 
@@ -111,7 +111,7 @@ def test_removal_is_the_same_in_slices(spark, monkeypatch):
     marks = benchmark(spark, items + ITEMS)
     docs = documents(spark, rows, clashing=True).selectExpr("*", "'kept' AS spans", "'kept' AS h")
     whole = decontaminate.remove_contaminated(docs, marks)
-    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 60)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 60)
     assert decontaminate._slices(marks, "item_id", "text")[0] > 5
     sliced = decontaminate.remove_contaminated(docs, marks)
     assert sliced.columns == docs.columns
@@ -120,3 +120,28 @@ def test_removal_is_the_same_in_slices(spark, monkeypatch):
     assert (None, free) in kept and (5, None) in kept and (3, first) not in kept
     assert not any(d == 1 and prose(94, 32) in t for d, t in kept)
     assert (3, free + " " + " ".join(meets[:9]) + "  " + " ".join(meets[9:18]) + " " + free) in kept
+
+
+def test_a_slice_at_its_limit_has_a_bounded_set():
+    import pickle
+    import random
+
+    rng = random.Random(4)
+    for words in (20_000, 10**9):  # few words that repeat, and hardly any word twice
+        items, size = [], 0
+        while size < decontaminate.SLICE_BYTES // 4:
+            items.append((str(len(items)), " ".join(f"w{rng.randrange(words)}" for _ in range(rng.randrange(3, 60)))))
+            size += len(items[-1][1]) + 16
+        held = decontaminate.WindowSet(items, decontaminate.WINDOW)
+        assert held.nbytes < 40 * size and len(pickle.dumps(held)) < 20 * size
+        n, marks, names = held.hits("other " + items[5][1])
+        assert "5" in names and marks.sum() == n - 1
+
+
+def test_items_that_repeat_each_other():
+    body = prose(3, 14)
+    held = decontaminate.WindowSet([("a", f"{body} {body}"), ("b", body), (None, body), ("c", "one two"), ("d", "two one two")], 10)
+    n, marks, names = held.hits(f"x {body} y")
+    assert (n, marks.tolist(), names) == (16, [False] + [True] * 14 + [False], {"a", "b"})
+    assert held.hits("zero one two")[2] == {"c"} and held.hits("two one two")[2] == {"c", "d"}
+    assert decontaminate.WindowSet([], 10).hits(body)[2] == set()

@@ -1,9 +1,10 @@
 """Benchmark decontamination: find, mark and remove test n-grams in training texts.
 
 The windows of the benchmark form a hash set that is broadcast.  Its size is proven first: the
-benchmark is measured by an aggregate, and one larger than ``SLICE_CHARS`` characters is worked off in
+benchmark is measured by an aggregate, and one larger than ``SLICE_BYTES`` of UTF-8 is worked off in
 slices of its items, each slice a scan of its own whose hits are written before the next slice's set is
-built; the hits of all slices are then united per ``(doc_id, text_key)``.  A scan is narrow.  Document words are mapped to the slice's word numbers (0: a word no item has), windows of
+built.  A set is a few arrays (about 15 bytes a byte of text, ``tests/llm/test_decontaminate.py`` holds it to 40), so a worker
+holds some 60 MB, whatever the size of the benchmark; the hits of all slices are then united per ``(doc_id, text_key)``.  A scan is narrow.  Document words are mapped to the slice's word numbers (0: a word no item has), windows of
 numbers are looked up by a rolling hash, and every hash hit is verified on the numbers themselves.
 
 Null and empty texts have no words: such documents have no hits and such items no windows.  Items
@@ -24,7 +25,7 @@ from tidewell.llm.common import ids_and_texts, map_batches, text_key
 from tidewell.session import durable
 
 WINDOW = 10
-SLICE_CHARS = 32_000_000
+SLICE_BYTES = 4_000_000
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
@@ -49,30 +50,48 @@ def _rolling(ids: np.ndarray, k: int) -> np.ndarray:
 
 
 class WindowSet:
-    """The distinct windows of some benchmark items, by length."""
+    """The windows of some benchmark items, by length: word numbers as one array, windows as places in it.
+
+    Per length: hashes in order, the place of each window, and the item it belongs to (-1: one without an id).  A window that
+    several items have is listed once for each.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], window: int):
         self.words: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            ids = [self.words.setdefault(w, len(self.words) + 1) for w in words_of(text or "")]
-            if not ids:
-                continue
-            k = min(window, len(ids))
-            for i in range(len(ids) - k + 1):
-                owner = owners.setdefault(tuple(ids[i : i + k]), set())
-                if item is not None:
-                    owner.add(item)
+        self.names = sorted({item for item, _ in items if item is not None})
+        number = {name: i for i, name in enumerate(self.names)}
+        texts = [
+            (number.get(item, -1), np.fromiter((self.words.setdefault(w, len(self.words) + 1) for w in words_of(text or "")), np.int32))
+            for item, text in items
+        ]
+        texts = [(owner, ids) for owner, ids in texts if len(ids)]
+        self.ids = np.concatenate([ids for _, ids in texts]) if texts else np.array([], np.int32)
+        starts = np.cumsum([0] + [len(ids) for _, ids in texts])
+        lengths = np.array([min(window, len(ids)) for _, ids in texts], np.int64)
         self.by_length = {}
-        for k in sorted({len(w) for w in owners}):
-            wins = [w for w in owners if len(w) == k]
-            hashes = _rolling(np.array(wins).reshape(-1), k)[::k]
-            order = np.argsort(hashes, kind="stable")
-            self.by_length[k] = (
-                hashes[order],
-                np.array(wins)[order],
-                [sorted(owners[wins[i]]) for i in order.tolist()],
-            )
+        for k in np.unique(lengths).tolist():
+            rolled = _rolling(self.ids, k)
+            chosen = np.flatnonzero(lengths == k)
+            places = np.concatenate([np.arange(starts[t], starts[t + 1] - k + 1) for t in chosen.tolist()])
+            owners = np.repeat([texts[t][0] for t in chosen.tolist()], starts[chosen + 1] - starts[chosen] - k + 1)
+            hashes = rolled[places]
+            order = np.lexsort((owners, hashes))
+            hashes, places, owners = hashes[order], places[order].astype(np.int32), owners[order].astype(np.int32)
+            fresh = np.ones(len(order), bool)  # an item's own repeats: one entry for each stretch of equal ones
+            fresh[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
+            again = np.flatnonzero(~fresh)
+            step = np.arange(k)
+            for at in range(0, len(again), 65536):
+                some = again[at : at + 65536]
+                same = (self.ids[places[some][:, None] + step] == self.ids[places[some - 1][:, None] + step]).all(1)
+                fresh[some[~same]] = True
+            self.by_length[k] = (hashes[fresh], places[fresh], owners[fresh])
+
+    @property
+    def nbytes(self) -> int:
+        """Of the arrays, and about that of the words."""
+        arrays = self.ids.nbytes + sum(a.nbytes for held in self.by_length.values() for a in held)
+        return arrays + sum(len(w) + 120 for w in self.words)
 
     def hits(self, text: str) -> tuple[int, np.ndarray, set]:
         """Number of words, a mark per word that lies in a window, ids of the items hit."""
@@ -80,7 +99,7 @@ class WindowSet:
         get = self.words.get
         ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
         marks, items = np.zeros(len(ids) + 1, np.int64), set()
-        for k, (hashes, wins, owners) in self.by_length.items():
+        for k, (hashes, places, owners) in self.by_length.items():
             if len(ids) < k:
                 continue
             foreign = np.concatenate([[0], np.cumsum(ids == 0)])
@@ -92,10 +111,11 @@ class WindowSet:
             last = np.searchsorted(hashes, rolled, "right")
             for s, a, b in zip(starts[first < last].tolist(), first[first < last].tolist(), last[first < last].tolist()):
                 for w in range(a, b):
-                    if (wins[w] == ids[s : s + k]).all():
+                    if (self.ids[places[w] : places[w] + k] == ids[s : s + k]).all():
                         marks[s] += 1
                         marks[s + k] -= 1
-                        items.update(owners[w])
+                        if owners[w] >= 0:
+                            items.add(self.names[owners[w]])
         return len(ids), np.cumsum(marks)[:-1] > 0, items
 
 
@@ -104,8 +124,8 @@ def _slices(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[int, It
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).distinct()
-    total = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
-    count = max(1, -(-int(total) // SLICE_CHARS))
+    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    count = max(1, -(-int(total) // SLICE_BYTES))
     at = F.pmod(F.xxhash64("item", "text"), F.lit(count))
     return count, ([tuple(r) for r in items.filter(at == k).collect()] for k in range(count))
 
