@@ -66,3 +66,11 @@ def test_removal_keeps_columns_and_drops_emptied(spark):
     ids = [r[0] for r in rows]
     assert 1 in ids and 5 not in ids and 2 in ids and 3 in ids and 4 in ids and None in ids
     assert (2, None) in rows
+
+
+def test_doubling_ends_where_no_length_is_asked_for(spark):
+    docs = documents(spark)
+    whole, short = lines.later_copies(docs), lines.later_copies(docs, lengths=False)
+    columns = ["doc", "n_removed", "n_runs", "longest_run", "removed"]
+    assert sorted_rows(whole.select(*columns)) == sorted_rows(short.select(*columns))
+    assert max(r.longest_copy for r in short.collect()) <= lines.MIN_LINES < max(r.longest_copy for r in whole.collect())

@@ -64,10 +64,10 @@ def _ranked(keys: DataFrame, *names: str) -> DataFrame:
     return durable(spread.select(F.monotonically_increasing_id().alias("r"), *names, "first"), "ranks")
 
 
-def intervals(lines: DataFrame) -> DataFrame:
+def intervals(lines: DataFrame, most: int | None = None) -> DataFrame:
     """``p, size, first``: for each suffix and each power of two up to its longest repeat, the earliest equal block.
 
-    ``size`` lines from ``p`` equal those from ``first``.
+    ``size`` lines from ``p`` equal those from ``first``.  ``most`` ends the doubling at that size.
     """
     solid = lines.filter("ln is not null").select("p", "h1", "h2")
     repeated = solid.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("p").alias("first"))
@@ -75,6 +75,8 @@ def intervals(lines: DataFrame) -> DataFrame:
     now, size, found = durable(now.select("p", "r", "first"), "suffixes"), 1, []
     while not now.isEmpty():
         found.append(now.select("p", F.lit(size).alias("size"), "first"))
+        if most is not None and size >= most:
+            break
         ahead = now.select((F.col("p") - size).alias("p"), F.col("r").alias("r2"))
         pairs = durable(now.select("p", F.col("r").alias("r1")).join(ahead, "p"), "pairs")
         repeated = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min("p").alias("first"))
@@ -85,16 +87,17 @@ def intervals(lines: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, found)
 
 
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, lengths: bool = True) -> DataFrame:
     """``doc, n_removed, n_runs, longest_run, longest_copy, removed`` of documents that lose lines.
 
     ``removed`` holds the line numbers in order; ``longest_copy`` is the largest power of two of lines copied from
-    one earlier place.  ``min_lines`` is a power of two.
+    one earlier place.  ``min_lines`` is a power of two.  What goes is settled by blocks of one and of ``min_lines`` lines;
+    without ``lengths`` the doubling ends there, and ``longest_copy`` with it.
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     lines = positions(docs)
-    copies = intervals(lines).filter("first < p").select("p", "size")
+    copies = intervals(lines, None if lengths else min_lines).filter("first < p").select("p", "size")
     # longer copies lie within copies of min_lines lines
     deepest = copies.groupBy("p").agg(F.max("size").alias("deep"), F.array_contains(F.collect_set("size"), min_lines).alias("runs"))
     single = lines.filter(F.col("chars") >= min_chars).select("p")
@@ -129,9 +132,9 @@ def _masked(removed: DataFrame) -> DataFrame:
     return removed.withColumn("stay", F.flatten(gaps)).drop("removed")
 
 
-def _cut(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+def _cut(docs: DataFrame, min_lines: int, min_chars: int, lengths: bool = True) -> DataFrame:
     """``row`` (the columns of ``docs``), ``left`` (the text that stays) and the counts of ``later_copies``."""
-    gone = durable(_masked(later_copies(docs, min_lines, min_chars)), "removed")
+    gone = durable(_masked(later_copies(docs, min_lines, min_chars, lengths)), "removed")
     own = packed(docs)
     same = own["doc_id"].eqNullSafe(gone["doc.doc_id"]) & (own["text_key"] == gone["doc.text_key"])
     rows = own.join(gone, same, "left")
@@ -162,6 +165,6 @@ def remove_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int =
 
     A document that loses all its non-blank lines is dropped; one that had none before stays.
     """
-    rows = _cut(docs, min_lines, min_chars)
+    rows = _cut(docs, min_lines, min_chars, lengths=False)
     rows = rows.filter(F.col("n_removed").isNull() | (_solid(F.col("left")) > 0))
     return rows.select(*[F.col("left").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
