@@ -86,3 +86,44 @@ def test_bands_of_similar_sets():
         a = rng.integers(0, 2**64, 900, np.uint64)
         b = np.concatenate([a[:800], rng.integers(0, 2**64, 100, np.uint64)])
         assert (neardup.band_keys(np.unique(a)) == neardup.band_keys(np.unique(b))).any()
+
+
+def around_a_passage(n, own):
+    """``n`` documents that share 120 words, each with ``own`` words of its own."""
+    rng = random.Random(n)
+    shared = " ".join(f"shared{i}" for i in range(120))
+    return [(i, f"{shared} " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(own)), "en", "a", 1) for i in range(n)]
+
+
+def test_a_shared_passage_makes_no_pairs_of_all(spark, monkeypatch):
+    """Pairs compared grow with the documents, not with their square; from 0.8 on they are linked."""
+    compared, verified = [], neardup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    assert neardup.keep_one(documents(spark, around_a_passage(300, 25))).count() == 300
+    assert compared.pop() == 0 and sum(compared) < 300 * 2 * neardup.HUB_ROUNDS * 6
+    compared.clear()
+    assert neardup.keep_one(documents(spark, around_a_passage(300, 12))).count() == 1
+    assert sum(compared) < 300 * 12
+
+
+def test_prefix_filter_keeps_every_similar_pair(spark):
+    rng, rows = random.Random(8), []
+    for size in (1, 2, 3, 5, 8, 40, 90):
+        pool = [rng.randrange(10**6) for _ in range(size + 4)]
+        for i in range(25):
+            rows.append(sorted(set(rng.sample(pool, size)) | {10**7 + rng.randrange(10**6) for _ in range(i % 4)}))
+    shingles = spark.createDataFrame([(i, len(r), h) for i, r in enumerate(rows) for h in r], "set_key long, n long, h long")
+    for least in (0.5, 0.8, 1.0):
+        held = {}
+        for r in neardup.prefixes(shingles, least).collect():
+            held.setdefault(r.h, []).append((r.set_key, r.short))
+        met = {(u, v) for members in held.values() for u, _ in members for v, short in members if short and len(rows[v]) <= len(rows[u])}
+        for u, a in enumerate(rows):
+            for v, b in enumerate(rows):
+                if u != v and len(b) <= len(a) and similarity(set(a), set(b)) >= least:
+                    assert (u, v) in met or (len(a) == len(b) and (v, u) in met)
