@@ -10,6 +10,7 @@ from tidewell.functions.labels import binary_label, encode_labels, label_filter
 from tidewell.functions.names import feature_target, identity_split, normalize_names
 from tidewell.functions.records import (
     CORRUPT,
+    KEY_PARTITIONS,
     key_report,
     keyed_records,
     parse_records,
@@ -18,8 +19,11 @@ from tidewell.functions.records import (
     split_malformed,
 )
 from tidewell.functions.splits import split_by_source, split_by_time
+from tidewell.operators.grouping import attach
+from tidewell.operators.placement import deal_by_key, heavy_keys, unsalted_key
 from tidewell.operators.profile import profile
 from tidewell.registry.base import query
+from tidewell.session import scratch_path, settle
 from tidewell.sources.broker import publish_stats
 
 KEYS = ["source_file", *ROW_ORDER]
@@ -146,6 +150,33 @@ def placement(spark, sf_dir):
     )
 
 
+HOT_KEY_SQL = "CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END"
+
+
+@query(
+    "heavy_key_placement",
+    f"""SELECT {HOT_KEY_SQL} AS key, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, TRUE AS even, TRUE AS light_in_one
+    FROM events GROUP BY 1""",
+)
+def heavy_placement(spark, sf_dir):
+    """A key that holds a third of the rows, dealt to eight partitions and written: no file has twice the mean, a key that
+    is not heavy sits in one file, and every key is whole again once its salts are taken off."""
+    key = F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string"))
+    events = table(spark, sf_dir, "events")
+    heavy = heavy_keys(events.select(key.alias("key")))
+    path = scratch_path(spark, "dealt")
+    deal_by_key(events, key, heavy=heavy).write.parquet(path)
+    read = spark.read.parquet(path).select("event_id", unsalted_key(F.col("key")).alias("key"), F.input_file_name().alias("file"))
+    files = settle(read.groupBy("file").agg(F.count(F.lit(1)).alias("n")))
+    even = settle(files.agg((F.max("n") <= 2 * F.sum("n") / KEY_PARTITIONS).alias("even")))
+    per_file = read.groupBy("key", "file").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    per_key = per_file.groupBy("key").agg(F.sum("n").alias("n"), F.sum("ids").alias("ids"), F.count(F.lit(1)).alias("files"))
+    known = attach(per_key, heavy.select("key", "pieces"), ["key"])
+    return attach(known, even, []).select(
+        "key", "n", "ids", "even", (F.col("files") <= F.coalesce("pieces", F.lit(1))).alias("light_in_one")
+    )
+
+
 @query(
     "key_report",
     """SELECT count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_rows, round(max(n) / sum(n), 6) AS top_share

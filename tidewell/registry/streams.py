@@ -20,7 +20,15 @@ from tidewell.streaming.ingest import (
     write_updates,
 )
 from tidewell.streaming.scoring import alerts, score_stream
-from tidewell.streaming.windows import bursts, connections, request_rate, unique_destinations
+from tidewell.streaming.windows import (
+    LOG_SIZE,
+    bursts,
+    connections,
+    destination_sketches,
+    request_rate,
+    united_destinations,
+    unique_destinations,
+)
 
 DAY_SQL = "date_trunc('day', ts)::TIMESTAMP"
 
@@ -99,6 +107,25 @@ def stream_destinations(spark, sf_dir):
     return naive(spark.read.schema(stream.schema).parquet(out))
 
 
+@query("sketched_destinations", DISTINCT_SQL.replace(" FROM events", ", TRUE AS within_error FROM events"))
+def sketched_destinations(spark, sf_dir):
+    """Hourly sketches written by a stream, united to days without reading an event again, next to the exact counts."""
+    events, path = _closed(spark, sf_dir)
+    stream = destination_sketches(
+        targets(file_stream(spark, path, events.schema, max_files=1000)), "user_id", "k", "ts", "1 hour", "1 hour"
+    )
+    out = scratch_path(spark, "sketches")
+    write_stream(stream, out, scratch_path(spark, "mark"), available_now=True).awaitTermination()
+    daily = united_destinations(spark.read.schema(stream.schema).parquet(out), "user_id", "1 day")
+    exact = unique_destinations(targets(events), "user_id", "k", "ts", "1 day")
+    both = exact.join(
+        daily.withColumnRenamed("destinations", "estimate"), ["user_id", "window_start", "window_end"], "left"
+    )
+    slack = F.col("destinations") * 4 * 1.04 / 2 ** (LOG_SIZE / 2) + 0.5
+    near = F.coalesce(F.abs(F.col("estimate") - F.col("destinations")) <= slack, F.lit(False))
+    return naive(both.withColumn("within_error", near).drop("estimate"))
+
+
 def _closed(spark, sf_dir):
     """The events with a closing record of user -1, 40 days after the latest, as files to stream."""
     events = table(spark, sf_dir, "events")

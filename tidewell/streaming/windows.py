@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.cells import ref
 
 WINDOW = "10 seconds"  # fixed value: default window length
+LOG_SIZE = 12  # sketches of at most 4 KB
 
 
 def with_event_time(df: DataFrame, at: str, watermark: str | None = None) -> DataFrame:
@@ -79,6 +80,33 @@ def unique_destinations(
     return _spread(counted.agg(F.count(F.lit(1)).alias("destinations")), [source, "destinations"])
 
 
+def destination_sketches(
+    df: DataFrame, source: str, destination: str, at: str, window: str, watermark: str | None = None, log_size: int = LOG_SIZE
+) -> DataFrame:
+    """``source, window_start, window_end, sketch``: the distinct destinations of a small window as a mergeable sketch.
+
+    A sketch takes at most ``2 ** log_size`` bytes whatever it has seen; in a stream that is the state per source and open
+    window.  Its relative standard error is about ``1.04 / sqrt(2 ** log_size)``.  NULL destinations are not counted.
+    """
+    timed = with_event_time(df, at, watermark).filter(ref(destination).isNotNull() & ref(at).isNotNull())
+    sketched = timed.groupBy(ref(source), F.window(at, window)).agg(
+        F.hll_sketch_agg(ref(destination).cast("string"), log_size).alias("sketch")
+    )
+    return _spread(sketched, [source, "sketch"])
+
+
+def united_destinations(sketches: DataFrame, source: str, window: str) -> DataFrame:
+    """``source, destinations, window_start, window_end``: distinct destinations of longer windows from stored sketches.
+
+    The union counts a destination seen in several small windows once; no event is read again.  ``window`` should be a
+    multiple of the small ones, which belong to the window they start in.
+    """
+    merged = sketches.groupBy(ref(source), F.window("window_start", window)).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("destinations")
+    )
+    return _spread(merged, [source, "destinations"])
+
+
 def bursts(
     df: DataFrame, source: str, at: str, quiet: str, least: int = 1, watermark: str | None = None
 ) -> DataFrame:
