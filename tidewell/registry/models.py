@@ -260,6 +260,37 @@ def selection(spark, sf_dir):
     return chosen.filter("drop_reason is not null").select("feature", "drop_reason")
 
 
+@query(
+    "selected_features",
+    """WITH f AS (SELECT value, hour(ts) AS hour, CAST(regexp_extract(props, '[0-9]+') AS INT) AS k, user_id % 10 AS user_load,
+      CASE WHEN value > 20 OR event_type = 'error' THEN 1 ELSE 0 END AS y FROM events),
+    c AS (UNPIVOT (SELECT abs(corr(value, y)) AS value, abs(corr(hour, y)) AS hour, abs(corr(k, y)) AS k,
+      abs(corr(user_load, y)) AS user_load FROM f) ON value, hour, k, user_load INTO NAME feature VALUE strength)
+    SELECT feature, row_number() OVER (ORDER BY strength DESC, feature) = 1 AS selected, TRUE AS in_ranking, TRUE AS in_reports FROM c""",
+)
+def selected(spark, sf_dir):
+    """The one best feature of four, which is the one that correlates most with the label; the three reports read back."""
+    kind = F.when(F.col("y") == 1, "attack").otherwise("BENIGN").alias("kind")
+    train = durable(flows(spark, sf_dir).select("event_id", *FEATURES, kind), "selection")
+    chosen = select_features(train, "kind", "BENIGN", ["event_id"], max_features=1, key=["event_id"], numTrees=20, maxDepth=5)
+    chosen = durable(chosen, "chosen")
+    folder = scratch_path(spark, "reports")
+    write_reports(chosen, folder)
+    ranking = spark.read.option("header", "true").schema("feature string, importance double").csv(f"{folder}/feature_importance")
+    named = spark.read.schema("selected_features array<string>, count int").json(f"{folder}/selected_features")
+    table_lines = spark.read.option("sep", "\t").option("header", "true").csv(f"{folder}/report").select("feature", "rank")
+    listed = named.filter(F.size("selected_features") == F.col("count")).select(F.explode("selected_features").alias("feature"))
+    told = listed.join(table_lines, "feature").select("feature", F.lit(True).alias("told"))
+    read = ranking.select("feature", F.col("importance").alias("again"))
+    joined = chosen.filter("rank is not null").join(read, "feature", "left").join(told, "feature", "left")
+    return joined.select(
+        "feature",
+        "selected",
+        F.coalesce(F.abs(F.col("again") - F.col("importance")) < 1e-9, F.lit(False)).alias("in_ranking"),
+        (F.coalesce("told", F.lit(False)) == F.col("selected")).alias("in_reports"),
+    )
+
+
 SPLIT_AT = "2024-01-25 00:00:00"
 
 
