@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.cells import missing, ref
+from tidewell.operators.approximate import approximate_vectors
 from tidewell.operators.grouping import attach
 from tidewell.operators.neighbors import nearest_vectors
 from tidewell.operators.running import running_totals
@@ -34,7 +35,7 @@ def with_class_weights(df: DataFrame, label: str, output: str = "weight") -> Dat
 
 
 def smote(
-    df: DataFrame, features: Sequence[str], label: str, k: int = NEIGHBORS, seed: int = SEED
+    df: DataFrame, features: Sequence[str], label: str, k: int = NEIGHBORS, seed: int = SEED, approximate: bool = False
 ) -> DataFrame:
     """``features..., label, synthetic``: every class raised to the size of the largest.
 
@@ -43,7 +44,8 @@ def smote(
     ``nn`` and ``u`` are hashes of the row and copy number, so a retried task makes the same rows.
     A class smaller than ``k + 1`` uses the neighbours it has; a class of one row is an error.
 
-    Equal rows are handled as one point with a multiplicity, so copies cost nothing.
+    Equal rows are handled as one point with a multiplicity, so copies cost nothing.  With ``approximate`` neighbours
+    come from ``approximate_vectors``: nearly all of them the nearest, without comparing a large class with itself.
     """
     known = df.filter(ref(label).isNotNull())
     gaps = known.agg(*[F.count_if(missing(df, c)).alias(c) for c in features]).first()
@@ -74,7 +76,10 @@ def smote(
     seeds = durable(
         spread.withColumn("copies", copies).filter("copies > 0").select("__class", "x", "m", "copies"), "seeds"
     )
-    found = nearest_vectors(points, seeds, k, "__class", "x", "m")
+    if approximate:
+        found, _ = approximate_vectors(points, seeds, k, "__class", "x", "m")
+    else:
+        found = nearest_vectors(points, seeds, k, "__class", "x", "m")
     leaning = seeds.join(found, ["__class", "x"], "left")
     others = F.coalesce("neighbors", F.expr("cast(array() as array<struct<y:array<double>,m:bigint,dist:double>>)"))
     own = F.array_repeat("x", F.least(F.col("m") - 1, F.lit(k)).cast("int"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewell.fixtures import DIRTY_SQL, dirty_lineitem, table
 from tidewell.functions.splits import split_by_time
+from tidewell.operators.approximate import approximate_vectors
 from tidewell.operators.balance import class_weights, smote, with_class_weights
 from tidewell.operators.evaluation import binary_metrics, class_metrics, confusion_matrix, roc_points
 from tidewell.operators.grouping import attach
@@ -194,6 +195,25 @@ def neighbors(spark, sf_dir):
     )
 
 
+@query(
+    "approximate_vectors",
+    """SELECT label, count(*) AS n, sum(least(5, c - 1))::BIGINT AS listed, TRUE AS recalled
+    FROM (SELECT label, count(*) OVER (PARTITION BY label) AS c FROM embeddings) GROUP BY label""",
+)
+def recalled_neighbors(spark, sf_dir):
+    """Vectors per label, neighbours listed, and whether at least nine tenths of these are the nearest there are."""
+    rows = table(spark, sf_dir, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("x"))
+    points = rows.groupBy("label", "x").agg(F.count(F.lit(1)).alias("m"))
+    near, _ = approximate_vectors(points, points, 5, "label", "x", "m", cell_rows=32, chunk_rows=64)
+    names = lambda df, out: df.select("label", "x", F.transform("neighbors", lambda s: s["y"]).alias(out))
+    exact = names(nearest_vectors(points, points, 5, "label", "x", "m"), "exact")
+    both = rows.join(exact, ["label", "x"], "left").join(names(near, "near"), ["label", "x"], "left")
+    hits = F.sum(F.size(F.array_intersect("exact", "near")))
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("near").cast("long")).alias("listed"), (hits >= 0.9 * F.sum(F.size("exact"))).alias("recalled")
+    )
+
+
 @query(
     "smote_embeddings",
     """WITH c AS (SELECT label, count(*) AS n, max(count(*)) OVER () AS most FROM embeddings GROUP BY label)
