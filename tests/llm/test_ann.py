@@ -22,6 +22,7 @@ def test_recall_order_and_hot_cells(spark, monkeypatch):
     x = x.astype(np.float32).astype(float)
     ids = np.arange(len(x))
     monkeypatch.setattr(ann, "CELL_ROWS", 200)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 5)
     df = frame(spark, ids, x)
     got = {}
     for r in ann.search(df, df.filter("vec_id % 50 = 0")).collect():
@@ -39,6 +40,17 @@ def test_recall_order_and_hot_cells(spark, monkeypatch):
     assert hits / total >= 0.9
 
 
+def test_blocks_of_rows_and_queries_give_what_one_block_gives(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(300, 6)), 5 + 1e-3 * rng.normal(size=(300, 6))])  # half within one cell
+    df = frame(spark, np.arange(600), x)
+    told = lambda: sorted(map(tuple, ann.search(df, df, 4).collect()))
+    whole = told()
+    monkeypatch.setattr(ann, "CELL_ROWS", 64)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 50)
+    assert told() == whole and len(whole) == 2400
+
+
 def test_few_rows_and_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -8,7 +8,8 @@ candidates of all tables are merged and ranked by exact distance.
 Parameters come from a hashed sample of at most about ``SAMPLE`` vectors: cell width and number of probes are the cheapest
 that find ``TARGET`` of the sample's own neighbours; neighbours in the whole table are nearer and easier to find.
 Every vector is indexed.  A cell with more rows than ``CELL_ROWS`` is dealt out over several blocks by a hash, so a cell that
-holds a third of the table is no hot group.  Queries that met fewer than ``k`` rows are compared with all rows, in blocks.
+holds a third of the table is no hot group; the queries of a cell are dealt out by ``CELL_QUERIES`` in the same way, and every
+block of rows meets every block of queries.  Queries that met fewer than ``k`` rows are compared with all rows, in blocks.
 
 Null vectors, zero vectors and vectors with null or non-finite components take no part, neither as rows nor as queries; rows
 with a null id neither.  Vectors of different lengths are never compared.  An id that is listed twice is a row each time
@@ -33,6 +34,7 @@ SAMPLE = 3_000
 SAMPLE_QUERIES = 200
 TARGET = 0.97
 CELL_ROWS = 4_096
+CELL_QUERIES = 4_096
 ROWS_PER_CELL = 2_048  # aimed at by the number of projections
 MAX_PROBES = 4_096
 WIDTHS = (1.0, 1.5, 2.0, 3.0, 4.0)  # of the median neighbour distance
@@ -199,19 +201,26 @@ def _nearest(k: int):
     return step
 
 
+def _blocks(df: DataFrame, key: list[str], most: int, name: str) -> DataFrame:
+    """``key, name``: the number of blocks of the cells that hold more than ``most`` rows."""
+    sizes = df.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    return sizes.select(*key, F.ceil(F.col("n") / most).alias(name))
+
+
 def _matched(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` of every block of a visited cell."""
+    """Best ``k`` of every block of a visited cell, for every block of the cell's queries."""
     key = ["tab", "dim", "cell"]
-    sizes = index.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > CELL_ROWS)
-    blocks = sizes.select(*key, F.ceil(F.col("n") / CELL_ROWS).alias("blocks"))
-    dealt = index.join(blocks, key, "left").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1).cast("long")))
-    )
-    asked = probes.join(blocks, key, "left").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1).cast("long")) - 1))
-    )
-    columns = [*key, "block", "id", "v"]
-    both = dealt.select(*columns).groupBy(*key, "block").cogroup(asked.select(*columns).groupBy(*key, "block"))
+    one = F.lit(1).cast("long")
+    rows, queries = _blocks(index, key, CELL_ROWS, "rows"), _blocks(probes, key, CELL_QUERIES, "queries")
+    grid = rows.join(queries, key, "full")
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.coalesce(own, one))
+        met = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(other, one) - 1))
+        return df.join(grid, key, "left").select(*key, "id", "v", mine.alias(f"{own}_block"), met.alias(f"{other}_block"))
+
+    block = [*key, "rows_block", "queries_block"]
+    both = placed(index, "rows", "queries").groupBy(*block).cogroup(placed(probes, "queries", "rows").groupBy(*block))
     return both.applyInArrow(_nearest(k), "query_id long, vec_id long, score double")
 
 
