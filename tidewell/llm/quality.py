@@ -31,6 +31,7 @@ from tidewell.session import durable
 
 MAX_TRAIN = 100_000
 TRAIN_PARTITIONS = 32
+SLICE = 1_024
 FEATURES = 384
 LENGTH_SCALE = 3.0
 RIDGE = 1e-3
@@ -107,7 +108,7 @@ def with_statistics(rows: DataFrame, extra: str) -> DataFrame:
 
     def make():
         def step(batch):
-            found = [statistics(t) for t in batch.column(0).to_pylist()]
+            found = [statistics(t.as_py()) for t in batch.column(0)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.float64())), *batch.columns[1:]], names=["stats", *names]
             )
@@ -121,6 +122,13 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _slices(*arrays: np.ndarray):
+    """``SLICE`` rows at a time: features are wide, and a worker keeps the memory that it once took."""
+    for at in range(0, max(1, len(arrays[0])), SLICE):
+        parts = [a[at : at + SLICE] for a in arrays]
+        yield parts if len(parts) > 1 else parts[0]
+
+
 @dataclass
 class Model:
     mean: np.ndarray
@@ -139,7 +147,7 @@ class Model:
         return np.hstack([np.cos(waves), np.sin(waves)]) * np.sqrt(2.0 / FEATURES), z, np.ones((len(z), 1))
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.hstack(self.features(x)) @ self.weights
+        return np.concatenate([np.hstack(self.features(part)) @ self.weights for part in _slices(x)])
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -155,10 +163,11 @@ def _summed(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
         gram = np.zeros((width, width + 1))
         for batch in batches:
             if batch.num_rows:
-                z = np.hstack(model.features(matrix(batch.column(0), len(STATISTICS))))
                 y = batch.column(1).to_numpy(zero_copy_only=False)
                 weight = batch.column(2).to_numpy(zero_copy_only=False)
-                gram += (z * weight[:, None]).T @ np.hstack([z, y[:, None]])
+                for x, ys, ws in _slices(matrix(batch.column(0), len(STATISTICS)), y, weight):
+                    z = np.hstack(model.features(x))
+                    gram += (z * ws[:, None]).T @ np.hstack([z, ys[:, None]])
         rows = np.arange(width, dtype=np.int32)
         cells = pa.ListArray.from_arrays(
             pa.array(np.arange(0, width * (width + 1) + 1, width + 1, dtype=np.int32)), pa.array(gram.reshape(-1))
@@ -249,7 +258,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     def make():
         def step(batch):
-            x = np.array([statistics(t) for t in batch.column(1).to_pylist()])
+            x = np.array([statistics(t.as_py()) for t in batch.column(1)])
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(model.probability(x))], names=["doc_id", "score"]
             )
@@ -268,7 +277,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
 
     def make():
         def step(batch):
-            x = np.array([statistics(t or "") for t in batch.column(at).to_pylist()])
+            x = np.array([statistics(t.as_py() or "") for t in batch.column(at)])
             return batch.filter(pa.array(model.probability(x) >= threshold))
 
         return step
