@@ -37,6 +37,27 @@ def test_ids_match_the_public_library():
         assert tool.decode(ids) == text.encode()
 
 
+def test_words_in_use_are_merged_once(monkeypatch):
+    """Words that come up in every text stay known while ever new ones pass through a small memo."""
+    merged, plain, known = [], bpe.merge_bytes, reference()
+
+    def counted(piece, *rest):
+        merged.append(piece)
+        return plain(piece, *rest)
+
+    monkeypatch.setattr(bpe, "merge_bytes", counted)
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 40)
+    tool = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    for _ in range(60):
+        new = " ".join("".join(rng.choices("qxzjkv", k=9)) for _ in range(15))
+        text = f"first qzxvkqj {new}, zzkqxvv. xvqqzkj"
+        assert tool.encode(text).tolist() == known.encode_ordinary(text)
+    often = [b" qzxvkqj", b" zzkqxvv", b" xvqqzkj"]
+    assert [merged.count(w) for w in often] == [1, 1, 1]
+    assert len(tool._words.new) <= 40 and len(tool._memo.new) <= 40
+
+
 def test_query_rows(spark):
     rows = same_with_clashes(spark, lambda d: bpe.round_trip(d, PATH, public_tokenizers.PATTERN))
     known = reference()

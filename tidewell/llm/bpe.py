@@ -5,8 +5,8 @@ pre-tokens; its slot is checked against the token's bytes, so a foreign pre-toke
 Misses are merged with a heap of adjacent pairs over a doubly linked list of bytes, O(n log n) for a
 pre-token of any length.  The vocabulary is read from a path on the driver and broadcast.
 
-Work is narrow: one Arrow pass over the documents, no shuffle.  A task keeps a bounded memo of resolved
-pre-tokens.  Null and empty texts give no ids; every row gives one row; repeated rows repeat.
+Work is narrow: one Arrow pass over the documents, no shuffle.  A task keeps bounded memos of resolved
+chunks and pre-tokens, which forget what was not used of late.  Null and empty texts give no ids; every row gives one row; repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -120,47 +120,72 @@ def pair_table(tokens: list[bytes]) -> dict[int, int]:
     return pairs
 
 
-NEVER = 1 << 62
-POSITION_BITS = 32
-POSITION = (1 << POSITION_BITS) - 1
+def byte_pairs(byte_ids: list[int], pairs: dict[int, int]) -> list[int | None]:
+    """Id of the token that joins two bytes, at 256 times the first plus the second."""
+    return [pairs.get((x << 32) | y) for x in byte_ids for y in byte_ids]
 
 
-def merge_bytes(piece: bytes, byte_ids: list[int], pairs: dict[int, int]) -> list[int]:
-    """Join the pair of lowest rank, leftmost first, until no pair is a token.
+def merge_bytes(piece: bytes, byte_ids: list[int], pairs: dict[int, int], first: list[int | None]) -> list[int]:
+    """Join the pair of lowest rank, leftmost first, until no pair is a token; ``first`` is ``byte_pairs``.
 
     The parts are a linked list over the bytes; a heap orders the pairs by (rank, position) and
     entries that no longer hold are skipped when they come up.
     """
-    ids = [byte_ids[b] for b in piece]
-    size = len(ids)
+    size = len(piece)
+    bits = size.bit_length()  # small numbers for the heap of a short piece
+    last = (1 << bits) - 1
     get = pairs.get
+    ids = [byte_ids[b] for b in piece]
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    rank = [get((x << 32) | y, NEVER) for x, y in zip(ids, ids[1:])]
-    heap = [(r << POSITION_BITS) | i for i, r in enumerate(rank) if r != NEVER]
-    rank.append(NEVER)
+    rank = [first[(x << 8) | y] for x, y in zip(piece, piece[1:])]
+    heap = [(r << bits) | i for i, r in enumerate(rank) if r is not None]
+    rank.append(None)
     heapify(heap)
     while heap:
         top = heappop(heap)
-        i, joined = top & POSITION, top >> POSITION_BITS
+        i, joined = top & last, top >> bits
         if rank[i] != joined:
             continue
         right = after[i]
         end = after[i] = after[right]
         ids[i] = joined
-        rank[right] = -1
+        ids[right] = rank[right] = -1
         if end < size:
             before[end] = i
-            r = rank[i] = get((joined << 32) | ids[end], NEVER)
-            if r != NEVER:
-                heappush(heap, (r << POSITION_BITS) | i)
+            r = rank[i] = get((joined << 32) | ids[end])
+            if r is not None:
+                heappush(heap, (r << bits) | i)
         else:
-            rank[i] = NEVER
+            rank[i] = None
         left = before[i]
         if left >= 0:
-            r = rank[left] = get((ids[left] << 32) | joined, NEVER)
-            if r != NEVER:
-                heappush(heap, (r << POSITION_BITS) | left)
-    return [x for x, r in zip(ids, rank) if r != -1]
+            r = rank[left] = get((ids[left] << 32) | joined)
+            if r is not None:
+                heappush(heap, (r << bits) | left)
+    return [x for x in ids if x >= 0]
+
+
+class Memo:
+    """At most two generations of ``MEMO_ENTRIES`` packed ids: a full one becomes the older, and what is used again
+    moves to the newer; the rest of the older one is forgotten with it."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that are not known; all others are in ``new`` from here on."""
+        absent = wanted.difference(self.new)
+        if not absent:
+            return []
+        unknown = absent.difference(self.old)
+        again = {w: self.old[w] for w in absent.difference(unknown)}
+        if len(self.new) + len(absent) > MEMO_ENTRIES:
+            again.update((w, self.new[w]) for w in wanted.difference(absent))
+            self.old, self.new = self.new, again
+        else:
+            self.new.update(again)
+        return list(unknown)
 
 
 class Codec:
@@ -174,8 +199,7 @@ class Codec:
     def __init__(self, tokens: list[bytes], pattern: str, index: PerfectHash | None = None):
         self.tokens, self.pattern = tokens, pattern
         self.index = index or PerfectHash(tokens)
-        self._memo: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._memo, self._words = Memo(), Memo()
         self._split = self._pairs = None
 
     def __getstate__(self):
@@ -189,25 +213,22 @@ class Codec:
         self._pairs = pair_table(self.tokens)
         single = {token[0]: i for i, token in enumerate(self.tokens) if len(token) == 1}
         self._bytes = [single[b] for b in range(256)]
+        self._first = byte_pairs(self._bytes, self._pairs)
 
     def _resolve(self, missing: list[str]) -> None:
         """Look whole pre-tokens up in the perfect hash; merge those it does not hold."""
-        if len(self._words) + len(missing) > MEMO_ENTRIES:
-            self._words.clear()
         pieces = [m.encode() for m in missing]
+        known = self._words.new
         for word, piece, found in zip(missing, pieces, self.index.find(pieces)):
-            ids = [found] if found >= 0 else merge_bytes(piece, self._bytes, self._pairs)
-            self._words[word] = pack(f"<{len(ids)}I", *ids)
+            ids = [found] if found >= 0 else merge_bytes(piece, self._bytes, self._pairs, self._first)
+            known[word] = pack(f"<{len(ids)}I", *ids)
 
     def _packed(self, chunks: list[str]) -> list[bytes]:
         split = [self._split(c) for c in chunks]
-        needed = set(chain.from_iterable(split))
-        missing = list(needed.difference(self._words))
+        missing = self._words.missing(set(chain.from_iterable(split)))
         if missing:
-            if len(self._words) + len(missing) > MEMO_ENTRIES:
-                missing = list(needed)
             self._resolve(missing)
-        known = self._words.__getitem__
+        known = self._words.new.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
     def encode(self, text: str) -> np.ndarray:
@@ -219,15 +240,11 @@ class Codec:
         if UNEVEN_SPACE(text):
             return np.frombuffer(self._packed([text])[0], "<u4")
         first, *chunks = text.split(" ")
-        memo = self._memo
-        wanted = set(chunks)
-        missing = list(wanted.difference(memo))
+        missing = self._memo.missing(set(chunks))
+        known = self._memo.new
         if missing:
-            if len(memo) + len(missing) > MEMO_ENTRIES:
-                memo.clear()
-                missing = list(wanted)
-            memo.update(zip(missing, self._packed([" " + c for c in missing])))
-        return np.frombuffer(self._packed([first])[0] + b"".join(map(memo.__getitem__, chunks)), "<u4")
+            known.update(zip(missing, self._packed([" " + c for c in missing])))
+        return np.frombuffer(self._packed([first])[0] + b"".join(map(known.__getitem__, chunks)), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
