@@ -29,7 +29,10 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group linked by a similarity of 0.8 or more of their five-word shingles."""
+    """One document of each group linked by a similarity of 0.8 or more of their five-word shingles.
+
+    SimHash links come first and are verified; an exact similarity join completes their groups.
+    """
     return neardup.keep_one(docs)
 
 

@@ -127,3 +127,34 @@ def test_prefix_filter_keeps_every_similar_pair(spark):
             for v, b in enumerate(rows):
                 if u != v and len(b) <= len(a) and similarity(set(a), set(b)) >= least:
                     assert (u, v) in met or (len(a) == len(b) and (v, u) in met)
+
+
+def test_fingerprints_link_without_bands(spark, monkeypatch):
+    """The stage's SimHash step links what is 3 or fewer bits apart and at least 0.8 alike, and nothing else."""
+    rng, texts = random.Random(12), []
+    for g in range(30):
+        text = prose(600 + g, 400)
+        texts += [text] + [edited(text, rng, n) for n in (1, 1, 2, 30)]
+    texts += [edited(prose(700, 9), rng, 1) for _ in range(3)]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    nodes = neardup.sketches(documents(spark, rows)).select("doc_id", "set_key", "n", "fp")
+    known = {r.set_key: r for r in nodes.collect()}
+    pairs = [(known[r.u], known[r.v]) for r in neardup._fingerprint_pairs(nodes, 0.8).collect()]
+    assert len(pairs) > 20
+    for a, b in pairs:
+        assert min(a.n, b.n) >= 0.8 * max(a.n, b.n)
+    monkeypatch.setattr(neardup, "BANDS", 0)  # no sketch has a band: all links are those of fingerprints
+    monkeypatch.setattr(neardup, "band_keys", lambda hashes: np.array([], np.int64))
+    prints, named = neardup.groups(documents(spark, rows))
+    root = {r.doc_id: r.root for r in prints.join(named, "set_key").collect()}
+    sets = [slow_set(t) for t in texts]
+    bits = {r.doc_id: r.fp for r in known.values()}
+    near = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = similarity(sets[i], sets[j]) >= 0.8
+            if alike and ((bits[i] ^ bits[j]) & (2**64 - 1)).bit_count() <= 3:
+                near += 1
+                assert root[i] == root[j]
+            assert alike or root[i] != root[j]
+    assert near > 20

@@ -1,18 +1,24 @@
-"""Near-duplicate documents by exact Jaccard similarity of their word shingles.
+"""Near-duplicate documents by SimHash links, verified and completed by exact Jaccard similarity of word shingles.
 
 Two documents are linked if their sets of ``WORDS_PER_SHINGLE``-word shingles have a Jaccard similarity of
 ``LEAST`` or more; of every connected group one document stays.  Documents with equal sets are one node, so any
-number of copies is one entry.  Linked nodes share a band of ``ROWS`` min-hashes, of which there are ``BANDS``: a pair
-at similarity 0.8 shares none with a probability of (1 - 0.8^4)^40 < 10^-9.  Every candidate is verified on the
-shingles themselves.
+number of copies is one entry.
 
-Nodes that share a band are first compared with one hub per band, which joins a large group with as many comparisons
+First come the links of ``simhash``: a fingerprint over the distinct shingles of each node, equal fingerprints as a star,
+and those that agree in a 32-bit segment but for one wildcard bit.  Each is verified on the shingles themselves, and what is
+linked is one group of ``components`` from then on.  Fingerprints find the closer copies: a similarity of 0.8 alone
+means about ten differing bits of 64, and no bound on bits finds all such pairs without comparing most documents.
+
+So the groups are completed.  Linked nodes share a band of ``ROWS`` min-hashes, of which there are ``BANDS``: a pair
+at similarity 0.8 shares none with a probability of (1 - 0.8^4)^40 < 10^-9.  Nodes of different groups that share a band
+are first compared with one hub per band, which joins a large group with as many comparisons
 as it has members.  Bands are no measure of similarity from 0.8 on: documents around a common passage share them too.
 So the pairs of nodes that are left in different groups of a band are not enumerated.  Their nodes are joined by an exact
 prefix filter instead: shingles ordered by how many of these nodes have them, rarest first, two sets of similarity
 ``LEAST`` share one among the first few of each (``prefixes``), and where two sets first agree, enough must follow in
-both.  There too, the nodes of a list are first compared with one of them, the one with the fewest shingles of its own.  What many documents share comes last in that order, so a common passage makes no candidates unless it makes up
-so much of them that they are alike.
+both.  There too, the nodes of a list are first compared with one of them, the one with the fewest shingles of its own.
+What many documents share comes last in that order, so a common passage makes no candidates unless it makes up so much
+of them that they are alike.  Every candidate is verified on the shingles.
 """
 
 from __future__ import annotations
@@ -27,7 +33,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import ids_and_texts, map_batches, release_shuffles, text_key
 from tidewell.llm.components import components
-from tidewell.llm.simhash import listed_once, shingle_hashes
+from tidewell.llm.simhash import links as fingerprint_links
+from tidewell.llm.simhash import listed_once, majority, shingle_hashes
 from tidewell.session import durable
 
 WORDS_PER_SHINGLE = 5
@@ -64,17 +71,18 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """``doc_id, text_key, set_key, n, bands`` for every row; no bands for a text without words; narrow."""
+    """``doc_id, text_key, set_key, n, fp, bands`` for every row; no bands for a text without words; narrow."""
     source = ids_and_texts(docs).select("doc_id", text_key().alias("text_key"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def make():
         def step(batch):
-            keys, sizes, bands = [], [], []
+            keys, sizes, fps, bands = [], [], [], []
             for text in batch.column(2):
                 hashes = shingle_set(text.as_py(), k)
                 keys.append(xxhash.xxh64_intdigest(hashes.tobytes()))
                 sizes.append(len(hashes))
+                fps.append(majority(hashes))
                 bands.append(band_keys(hashes) if len(hashes) else np.array([], np.int64))
             return pa.RecordBatch.from_arrays(
                 [
@@ -82,14 +90,15 @@ def sketches(docs: DataFrame, k: int = WORDS_PER_SHINGLE) -> DataFrame:
                     batch.column(1),
                     pa.array(np.array(keys, np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int64()),
+                    pa.array(fps, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_key", "set_key", "n", "bands"],
+                names=["doc_id", "text_key", "set_key", "n", "fp", "bands"],
             )
 
         return step
 
-    return map_batches(source, make, f"doc_id {kind}, text_key long, set_key long, n long, bands array<long>")
+    return map_batches(source, make, f"doc_id {kind}, text_key long, set_key long, n long, fp long, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
@@ -141,6 +150,19 @@ def _ordered(u: str, v: str, least: float):
     return close, F.least(u, v).alias("u"), F.greatest(u, v).alias("v")
 
 
+def _fingerprint_pairs(nodes: DataFrame, least: float) -> DataFrame:
+    """Nodes with the first node of their fingerprint, and first nodes of fingerprints that ``simhash`` links."""
+    prints = durable(nodes.filter("n > 0").select("set_key", "n", "fp"), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min(F.struct("set_key", "n")).alias("f"))
+    hubs = durable(first.select("fp", F.col("f.set_key").alias("hub"), F.col("f.n").alias("n_hub")), "hubs")
+    met = fingerprint_links(hubs.select("fp")).distinct().withColumnRenamed("v", "fp")
+    met = met.join(hubs, "fp").select(F.col("u").alias("fp"), "hub", "n_hub")
+    across = hubs.select("fp", F.col("hub").alias("set_key"), F.col("n_hub").alias("n")).join(met, "fp")
+    both = prints.join(hubs, "fp").unionByName(across).filter("set_key <> hub")
+    close, u, v = _ordered("set_key", "hub", least)
+    return both.filter(close).select(u, v).distinct()
+
+
 def _hub_pairs(labelled: DataFrame, turn: int, least: float) -> DataFrame:
     """Every node of a band with the band's hub, another one each turn."""
     band = Window.partitionBy("sig").orderBy(F.xxhash64("set_key", F.lit(turn)), "set_key")
@@ -231,21 +253,26 @@ def groups(docs: DataFrame, k: int = WORDS_PER_SHINGLE, least: float = LEAST) ->
     """``(doc_id, text_key, set_key)`` of every row, and ``(set_key, one, root)`` of every distinct set."""
     prints = durable(sketches(docs, k), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    nodes = prints.groupBy("set_key").agg(first.alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    spread = nodes.select("set_key", "n", "one", F.explode("bands").alias("sig"))
+    nodes = prints.groupBy("set_key").agg(
+        first.alias("one"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")
+    )
+    alike = durable(_fingerprint_pairs(nodes, least), "alike")
+    spread = nodes.select("set_key", "n", F.explode("bands").alias("sig"))
     shared = F.count("*").over(Window.partitionBy("sig"))
     runs = durable(spread.withColumn("shared", shared).filter("shared > 1").drop("shared"), "bands")
     one = nodes.select("set_key", "one")
-    members = runs.select("set_key", "one.doc_id", "one.text_key").distinct()
+    met = runs.select("set_key").unionByName(alike.select(F.explode(F.array("u", "v")).alias("set_key"))).distinct()
+    members = one.join(met, "set_key").select("set_key", "one.doc_id", "one.text_key")
     own = ids_and_texts(docs).select("doc_id", text_key().alias("text_key"), "text")
     same = own["doc_id"].eqNullSafe(members["doc_id"]) & (own["text_key"] == members["text_key"])
     texts = durable(own.join(members, same).select("set_key", "text").dropDuplicates(["set_key"]), "texts")
     release_shuffles(docs.sparkSession)
-    runs = runs.drop("one")
 
     links = tested = roots = lists = None
-    for turn in range(HUB_ROUNDS + 2):
-        if turn < HUB_ROUNDS:
+    for turn in range(-1, HUB_ROUNDS + 2):
+        if turn < 0:
+            pairs = alike
+        elif turn < HUB_ROUNDS:
             pairs = _hub_pairs(_labelled(runs, roots), turn, least)
         elif turn == HUB_ROUNDS:
             left = durable(_open_nodes(_labelled(runs, roots)), "open")
@@ -256,7 +283,7 @@ def groups(docs: DataFrame, k: int = WORDS_PER_SHINGLE, least: float = LEAST) ->
             pairs = _prefix_pairs(_open_lists(lists, roots), least)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = durable(pairs, "pairs")
+        pairs = pairs if turn < 0 else durable(pairs, "pairs")
         found = durable(_verified(pairs, texts, k, least), "near")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)

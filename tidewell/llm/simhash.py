@@ -47,9 +47,8 @@ def shingle_hashes(text: str, k: int = WORDS_PER_SHINGLE) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], HASH_SEED) for a, b in spans), np.uint64, n)
 
 
-def fingerprint(text: str, k: int = WORDS_PER_SHINGLE) -> int:
-    """Bit b is set if it is set in over half of the shingle hashes (signed 64-bit)."""
-    hashes = shingle_hashes(text, k)
+def majority(hashes: np.ndarray) -> int:
+    """Bit b is set if it is set in over half of the hashes (signed 64-bit)."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), SLICE):
         bits = np.unpackbits(hashes[at : at + SLICE].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -57,6 +56,11 @@ def fingerprint(text: str, k: int = WORDS_PER_SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0]) if len(hashes) else 0
 
 
+def fingerprint(text: str, k: int = WORDS_PER_SHINGLE) -> int:
+    """Bit b is set if it is set in over half of the shingle hashes (signed 64-bit)."""
+    return majority(shingle_hashes(text, k))
+
+
 def fingerprints(docs: DataFrame, k: int = WORDS_PER_SHINGLE) -> DataFrame:
     """``doc_id, text_key, fp`` for every row; narrow."""
     source = ids_and_texts(docs).select("doc_id", text_key().alias("text_key"), "text")
