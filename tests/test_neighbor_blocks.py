@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+import tidewell.operators.approximate as approximate
 import tidewell.operators.neighbors as neighbors
 from tidewell.session import durable
 
@@ -17,7 +18,7 @@ def written(monkeypatch):
         counts[tag] = max(counts.get(tag, 0), table.count())
         return table
 
-    for module in (neighbors,):
+    for module in (neighbors, approximate):
         monkeypatch.setattr(module, "durable", counted)
     return counts
 
@@ -62,3 +63,21 @@ def test_no_row_is_written_per_query_and_cell(spark, written):
     df = made(spark, 900, 24, 6)  # 24 even directions: hardly a cell can be left out
     neighbors.nearest_vectors(df, df, 5, "g", "x", "m", 10, 30).count()
     assert max(written.values()) <= 904
+
+
+def test_no_row_is_written_per_visit(spark, written):
+    df = made(spark, 900, 24, 7)
+    found, report = approximate.approximate_vectors(df, df, 5, "g", "x", "m", cell_rows=10, chunk_rows=30)
+    assert found.count() == 904
+    assert report.filter("g = 'big'").first().leaves > 10
+    assert written["visits"] == 904 and written["found"] == 904
+
+
+def test_visits_over_several_blocks(spark, monkeypatch):
+    for name in ("BLOCK_BYTES", "CHUNK_BYTES"):
+        monkeypatch.setattr(approximate, name, 0)
+    df = made(spark, 400, 3, 8)
+    got = distances(approximate.approximate_vectors(df, df, 5, "g", "x", "m", target=1.0, cell_rows=9, chunk_rows=30)[0].collect())
+    want = true_distances(df, 5)
+    assert set(got) == set(want) and all(len(got[q]) == len(want[q]) for q in want)
+    assert np.mean([np.allclose(got[q], want[q]) for q in want]) > 0.9

@@ -13,12 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell.session import durable, settle
 
@@ -375,71 +373,3 @@ def _probe(reached, pivots, plan, group_type) -> DataFrame:
     return reached.select("g", "x", "cell", "block", "reach").mapInArrow(
         probe, f"g {group_type}, x array<double>, cell int, reach double, block int"
     )
-
-
-def _stacked(column) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=float) for v in column])
-
-
-def _match(asked, placed, shape, k, group_type, chunk_rows) -> DataFrame:
-    """``g, x, y, m, dist``: top k per query over the cells it is listed for."""
-    load = asked.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("q"))
-    grid = settle(
-        shape.join(load, ["g", "cell"]).select(
-            "g",
-            "cell",
-            F.greatest(F.ceil(F.col("n") / chunk_rows), F.lit(1)).cast("int").alias("sc"),
-            F.greatest(F.ceil(F.col("q") / chunk_rows), F.lit(1)).cast("int").alias("qc"),
-        )
-    )
-
-    def chunk(count):
-        return F.pmod(F.xxhash64("x", F.lit(7)), F.col(count).cast("long")).cast("int")
-
-    def spread(count):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    left = asked.join(grid, ["g", "cell"]).select("g", "x", "reach", "cell", chunk("qc").alias("a"), spread("sc").alias("b"))
-    right = placed.join(grid, ["g", "cell"]).select("g", "x", "m", "cell", chunk("sc").alias("b"), spread("qc").alias("a"))
-
-    def block(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"g": [], "x": [], "y": [], "m": [], "dist": []})
-        if q.empty or s.empty:
-            return empty
-        queries, points = _stacked(q["x"]), _stacked(s["x"])
-        # ties in distance go to the smaller vector, whatever order the rows arrived in
-        by_vector = np.lexsort(points.T[::-1])
-        points, s = points[by_vector], s.iloc[by_vector]
-        reach = q["reach"].to_numpy(dtype=float)
-        step = max(1, (1 << 22) // len(points))
-        found = []
-        for start in range(0, len(queries), step):
-            qi, si, dist = _closest(queries[start : start + step], points, k, reach[start : start + step])
-            found.append((qi + start, si, dist))
-        qi, si, dist = (np.concatenate([f[i] for f in found]) for i in range(3))
-        order = np.lexsort((si, dist, qi))
-        qi, si, dist = qi[order], si[order], dist[order]
-        first = np.concatenate([[0], np.flatnonzero(np.diff(qi)) + 1]) if len(qi) else np.array([], dtype=int)
-        rank = np.arange(len(qi)) - np.repeat(first, np.diff(np.append(first, len(qi))))
-        top = rank < k
-        qi, si, dist = qi[top], si[top], dist[top]
-        return pd.DataFrame(
-            {
-                "g": q["g"].to_numpy()[qi],
-                "x": q["x"].to_numpy()[qi],
-                "y": s["x"].to_numpy()[si],
-                "m": s["m"].to_numpy()[si],
-                "dist": dist,
-            }
-        )
-
-    keys = ["g", "cell", "a", "b"]
-    out = T.StructType.fromDDL(f"g {group_type}, x array<double>, y array<double>, m bigint, dist double")
-    matched = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, out)
-    return _top(matched, k)
-
-
-def _top(candidates, k) -> DataFrame:
-    """k closest per query; the rank limit is applied before the shuffle as well as after it."""
-    order = W.partitionBy("g", "x").orderBy("dist", "y")
-    return candidates.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k).drop("__r")
