@@ -313,16 +313,24 @@ def etl_incremental(spark, sf_dir):
     return rows.withColumn("read_last", F.coalesce("read_last", F.lit(False)))
 
 
+FILE_ROWS = 500_000  # rows of a compressed file
+
+
 @query(
     "etl_failed_file",
     """SELECT count(*) AS rows_written, sum(l_quantity) AS quantity, 'failed' AS overall, 'failed' AS cut_status,
       0::BIGINT AS cut_rows, 0 AS cut_written FROM lineitem""",
 )
 def etl_failed_file(spark, sf_dir):
-    """A compressed file cut at half its bytes is reported as failed and none of its rows is written."""
+    """A compressed file cut at half its bytes is reported as failed and none of its rows is written.
+
+    A compressed file is one task's work, so a larger table makes more of them, three at least.
+    """
     rows = table(spark, sf_dir, "lineitem")
     source, target = scratch_path(spark, "raw"), scratch_path(spark, "clean")
-    write_table(rows.repartition(3, "l_orderkey"), source, "csv", compression="gzip")
+    files = max(3, -(-rows.count() // FILE_ROWS))
+    fast = {"zlib.compress.level": "BEST_SPEED"}
+    write_table(rows.repartition(files, "l_orderkey"), source, "csv", compression="gzip", **fast)
     store, place = locate(list_files(spark, source, "*.csv.gz")[0])
     folder = place.rpartition("/")[0]
     with store.open_input_file(place) as whole, store.open_output_stream(f"{folder}/zz-cut.csv.gz", compression=None) as cut:

@@ -270,13 +270,27 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def _folder_pattern(folder: str) -> str:
+    place = re.escape(re.sub(r"^\w+:/*", "/", folder.rstrip("/")))
+    return f"^(?:\\w+:)?/*{place.lstrip('/')}/+"
+
+
 def path_within(path: Column, folder: str) -> Column:
     """The path below ``folder``: the bare name in a flat folder, unique in a nested one."""
-    place = re.escape(re.sub(r"^\w+:/*", "/", folder.rstrip("/")))
-    inner = F.regexp_replace(path, f"^(?:\\w+:)?/*{place.lstrip('/')}/+", "")
+    inner = F.regexp_replace(path, _folder_pattern(folder), "")
     return F.when(inner == path, file_name(path)).otherwise(inner)
 
 
+def _path_within_like(path: Column, folder: str, known: str | None) -> Column:
+    """``path_within`` for a column of a row's path: where it begins like the path ``known``, that is cut off, as a pattern
+    per row costs more."""
+    start = re.match(_folder_pattern(folder), known or "")
+    if not start:
+        return path_within(path, folder)
+    cut = F.substring(path, start.end() + 1, 1 << 30)
+    return F.when(path.startswith(start.group()), cut).otherwise(path_within(path, folder))
+
+
 def header_consistency(
     spark: SparkSession, folder: str, pattern: str = "*.csv", headers: DataFrame | None = None
 ) -> DataFrame:
@@ -334,6 +348,7 @@ def read_csv_folder(
             files[tuple(row["header"])].append(row["path"])
     wanted = {f.name: f.dataType for f in schema} if schema is not None else None
     options = {"pathGlobFilter": pattern, "multiLine": str(multi_line).lower(), **options}
+    known = good.agg(F.min("path")).first()[0]
     parts = []
     for header in sorted(layouts):
         names = normalized(header) if normalize else list(header)
@@ -341,7 +356,7 @@ def read_csv_folder(
         if wanted is not None:
             typed = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
         part = _scan(spark, sorted(files[header]) or folder, typed, options, missing_text, audit, names)
-        parts.append(part.withColumn(SOURCE, path_within(F.col("__path"), folder)).drop("__path"))
+        parts.append(part.withColumn(SOURCE, _path_within_like(F.col("__path"), folder, known)).drop("__path"))
     return union_files(parts)
 
 
